@@ -12,7 +12,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import dedup, kpis, marts
+from pyspark.sql import functions as F
+
+from .. import schemas as S
+from ..functions import paths as P
+from ..operators import dedup, kpis, ledger, marts, profile, quality
+from ..session import scratch_dir
+from ..sinks import parquet as sinks
+from ..sources import csv as csvsrc
+from ..sources import files as filesrc
 from ..sources import tables as fx
 
 
@@ -52,6 +60,157 @@ def _refund_rate(spark: SparkSession, d: str) -> DataFrame:
     return kpis.refund_rate(m.refund, m.transaction)
 
 
+# ------------------------------------------------------------ files & paths
+
+BUCKET = "bucket"
+
+
+def _route_files(spark: SparkSession, d: str) -> DataFrame:
+    f = fx.file_paths(spark, d)
+    return f.select("event_id", "file_path", P.file_name("file_path").alias("file_name"),
+                    P.route_dataset("file_path").alias("dataset"))
+
+
+def _file_extension(spark: SparkSession, d: str) -> DataFrame:
+    f = fx.file_paths(spark, d)
+    return f.select("event_id", "file_path", P.is_csv("file_path").alias("is_valid"))
+
+
+def _path_normalize(spark: SparkSession, d: str) -> DataFrame:
+    f = fx.file_paths(spark, d)
+    key = P.object_key("file_path", BUCKET)
+    return f.select("event_id",
+                    P.has_object_scheme("file_path").alias("is_valid_scheme"),
+                    key.alias("source_key"),
+                    P.key_file_name(key).alias("file_name"),
+                    P.destination_key(key, "processing/").alias("destination_key"),
+                    P.join_path("s3a", BUCKET, "processed/", P.key_file_name(key))
+                     .alias("processed_path"))
+
+
+def _csv_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Write the transaction fixture as headed CSV, scan it back with the schema."""
+    out = scratch_dir(spark, "landing-fact_transactions")
+    csvsrc.write_csv(fx.transactions_clean(fx.transactions_raw(spark, d)), out)
+    return csvsrc.read_csv(spark, out, S.TRANSACTIONS.schema)
+
+
+def _settlement_drops(spark: SparkSession, d: str) -> str:
+    """Settlements written as one CSV drop folder per settlement year."""
+    root = scratch_dir(spark, "landing-settlements")
+    stl = fx.settlements_from(fx.transactions(spark, d))
+    (stl.withColumn("drop", F.year("settlement_date")).write.partitionBy("drop")
+        .option("header", "true").csv(root))
+    return root
+
+
+def _multi_file_union(spark: SparkSession, d: str) -> DataFrame:
+    """Every drop folder of one dataset read by one multi-path scan."""
+    root = _settlement_drops(spark, d)
+    folders = sorted({r.parent for r in filesrc.list_files(spark, root, "*.csv")
+                      .select("parent").distinct().collect()})
+    return csvsrc.read_csv(spark, [f"{root}/{p}" for p in folders], S.SETTLEMENTS.schema)
+
+
+def _list_files(spark: SparkSession, d: str) -> DataFrame:
+    root = _settlement_drops(spark, d)
+    return (filesrc.list_files(spark, root, "*.csv").where(F.col("length") > 0)
+                   .select("parent").distinct())
+
+
+# ------------------------------------------------------------------- sinks
+
+def _written_mart(spark: SparkSession, d: str, kind: str) -> str:
+    m = Marts(spark, d)
+    df = {"transaction_performance": m.transaction, "merchant_settlement": m.settlement,
+          "refund_insights": m.refund}[kind]
+    out = scratch_dir(spark, f"mart-{kind}")
+    sinks.write_partitioned(df, out, marts.PARTITION_COLUMNS[kind], mode="append")
+    return out
+
+
+def _mart_year_scan(spark: SparkSession, d: str) -> DataFrame:
+    path = _written_mart(spark, d, "transaction_performance")
+    return filesrc.read_mart(spark, path, "transaction_performance", year=1995)
+
+
+def _partitioned_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    path = _written_mart(spark, d, "merchant_settlement")
+    return filesrc.read_mart(spark, path, "merchant_settlement")
+
+
+def _idempotent_append(spark: SparkSession, d: str) -> DataFrame:
+    """A partial batch, then the full batch twice: every refund ends up once."""
+    kind = "refund_insights"
+    mart = Marts(spark, d).refund
+    out = scratch_dir(spark, f"mart-{kind}")
+    parts, key = marts.PARTITION_COLUMNS[kind], marts.MART_KEYS[kind]
+    sinks.idempotent_append(mart.where(F.col("refund_reason") == "SERVICE_ISSUE"), out, key, parts)
+    sinks.idempotent_append(mart, out, key, parts)
+    sinks.idempotent_append(mart, out, key, parts)
+    return filesrc.read_mart(spark, out, kind)
+
+
+# ------------------------------------------------------------- validation
+
+def _missing_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Header check of every landing file: the six datasets as CSV, plus a
+    refunds drop whose producer left out ``refund_status``."""
+    root = scratch_dir(spark, "landing-headers")
+    ds = fx.payment_datasets(spark, d)
+    for name, df in ds.items():
+        csvsrc.write_csv(df, f"{root}/{S.BY_NAME[name].token}")
+    csvsrc.write_csv(ds["refunds"].drop("refund_status"), f"{root}/fact_refunds_bad")
+    heads = quality.csv_headers(spark, f"{root}/*/*.csv")
+    folder = F.element_at(F.split("file_path", "/"), -2)
+    required = F.lit(None).cast("array<string>")
+    for spec in reversed(S.DATASETS):
+        required = F.when(folder.startswith(spec.token),
+                          F.array(*[F.lit(c) for c in spec.columns])).otherwise(required)
+    checked = quality.missing_columns(heads.withColumn("required", required), "required")
+    return checked.select(folder.alias("folder"),
+                          F.array_join("missing", ",").alias("missing_columns"),
+                          "is_valid").distinct()
+
+
+def _datasets(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return fx.payment_datasets(spark, d)
+
+
+def _dedup_datasets(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return {name: dedup.latest_by_key(df, S.BY_NAME[name].pk)
+            for name, df in fx.payment_datasets(spark, d).items()}
+
+
+def _pk_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    parts = [quality.pk_duplicates(df, S.BY_NAME[name].pk)
+             .select(F.lit(name).alias("dataset"),
+                     F.col(S.BY_NAME[name].pk).cast("string").alias("key_value"), "n_rows")
+             for name, df in _datasets(spark, d).items()]
+    return csvsrc.union_by_name(parts)
+
+
+# ------------------------------------------------------------------ ledger
+
+def _ledger_current(spark: SparkSession, d: str) -> DataFrame:
+    return ledger.current_state(ledger.from_file_events(fx.file_events(spark, d)))
+
+
+def _led_current(spark: SparkSession, d: str) -> DataFrame:
+    return _ledger_current(spark, d).select("file_name", "status", "error_type", "created_date",
+                                            "updated_date", "attempts")
+
+
+def _led_retryable(spark: SparkSession, d: str) -> DataFrame:
+    return ledger.retryable(_ledger_current(spark, d)).select("file_name", "error_type",
+                                                              "attempts")
+
+
+def _led_stale(spark: SparkSession, d: str) -> DataFrame:
+    return ledger.stale_active_events(_ledger_current(spark, d)).select(
+        "file_name", "status", "error_type", "error_message")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_transaction_performance": lambda spark, d: Marts(spark, d).transaction,
     "mart_merchant_settlement": lambda spark, d: Marts(spark, d).settlement,
@@ -72,4 +231,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ded_latest_by_key": lambda spark, d: fx.transactions(spark, d),
     "ded_drop_duplicates": lambda spark, d: dedup.drop_duplicates(
         fx.transactions_raw(spark, d), "transaction_id").select("transaction_id"),
+    "src_csv_scan": _csv_scan,
+    "src_route_files": _route_files,
+    "src_multi_file_union": _multi_file_union,
+    "src_mart_year_scan": _mart_year_scan,
+    "src_list_files": _list_files,
+    "snk_partitioned_roundtrip": _partitioned_roundtrip,
+    "snk_idempotent_append": _idempotent_append,
+    "val_file_extension": _file_extension,
+    "val_missing_columns": _missing_columns,
+    "path_normalize": _path_normalize,
+    "prof_dataset_counts": lambda spark, d: profile.dataset_counts(_dedup_datasets(spark, d)),
+    "dq_pk_duplicates": _pk_duplicates,
+    "dq_fk_orphans": lambda spark, d: quality.fk_orphan_summary(_datasets(spark, d)),
+    "dq_domain_violations": lambda spark, d: quality.domain_violations(_datasets(spark, d)),
+    "led_current_state": _led_current,
+    "led_retryable": _led_retryable,
+    "led_stale_active": _led_stale,
 }

@@ -218,3 +218,143 @@ select * from pay_transactions"""),
     "ded_drop_duplicates": with_ctes(("pay_transactions_raw",), """
 select distinct transaction_id from pay_transactions_raw"""),
 }
+
+CTES["pay_transactions_csv"] = """
+select transaction_id, customer_id, merchant_id, channel_id, transaction_timestamp,
+       transaction_amount, transaction_status, failure_reason,
+       cast(null as varchar) device_type, cast(null as varchar) bank_name, city, processing_fee
+from pay_transactions_raw"""
+DEPS["pay_transactions_csv"] = ("pay_transactions_raw",)
+
+# Datasets of the quality checks: transactions before deduplication.
+DATASET_VIEWS = {"customer": "pay_customer", "merchant": "pay_merchant",
+                 "channel": "pay_channel", "refunds": "pay_refunds",
+                 "settlements": "pay_settlements", "transactions": "pay_transactions_csv"}
+PKS = {"customer": "customer_id", "merchant": "merchant_id", "channel": "channel_id",
+       "refunds": "refund_id", "settlements": "settlement_id", "transactions": "transaction_id"}
+ALL_VIEWS = tuple(DATASET_VIEWS.values())
+
+
+def _file_name(expr: str) -> str:
+    return f"string_split({expr}, '/')[-1]"
+
+
+# Dataset tokens in routing order.
+ROUTES = (("dim_customer", "customer"), ("dim_merchant", "merchant"),
+          ("dim_payment_channel", "channel"), ("fact_refunds", "refunds"),
+          ("fact_settlements", "settlements"), ("fact_transactions", "transactions"))
+_ROUTE_CASE = "case " + " ".join(
+    f"when contains(lower({_file_name('file_path')}), '{tok}') then '{name}'"
+    for tok, name in ROUTES) + " end"
+
+_LEDGER_CURRENT = """
+ledger_current as (
+  select file_name, status, error_type, created_date, updated_date, attempts from (
+    select file_name, status, error_type,
+           row_number() over (partition by file_name order by event_ts desc, event_id desc) rn,
+           min(event_ts) over (partition by file_name) created_date,
+           max(event_ts) over (partition by file_name) updated_date,
+           cast(count(*) filter (where status = 'F') over (partition by file_name) as bigint) attempts
+    from pay_file_events) q where rn = 1)"""
+
+
+def _ledger(body: str) -> str:
+    return with_ctes(("pay_file_events",), "").replace(
+        "\n", "", 0) + "," + _LEDGER_CURRENT + "\n" + body
+
+
+def _fk_sql() -> str:
+    # The declared foreign keys (child, column, parent, parent column).
+    fks = (("customer", "preferred_channel_id", "channel", "channel_id"),
+           ("transactions", "customer_id", "customer", "customer_id"),
+           ("transactions", "merchant_id", "merchant", "merchant_id"),
+           ("transactions", "channel_id", "channel", "channel_id"),
+           ("refunds", "transaction_id", "transactions", "transaction_id"),
+           ("refunds", "customer_id", "customer", "customer_id"),
+           ("settlements", "merchant_id", "merchant", "merchant_id"),
+           ("settlements", "transaction_id", "transactions", "transaction_id"))
+    parts = []
+    for child, col, parent, pcol in fks:
+        parts.append(
+            f"select '{child}.{col}->{parent}.{pcol}' relation, count(*) orphan_rows "
+            f"from {DATASET_VIEWS[child]} c where c.{col} is not null and not exists "
+            f"(select 1 from {DATASET_VIEWS[parent]} p where p.{pcol} = c.{col})")
+    return with_ctes(ALL_VIEWS, "\nunion all\n".join(parts))
+
+
+def _domain_sql() -> str:
+    from .. import schemas as S
+    from ..operators.quality import DOMAINS
+
+    parts = []
+    for spec in S.DATASETS:
+        view = DATASET_VIEWS[spec.name]
+        rules = [(spec.pk, "pk_not_null", f"{spec.pk} is null")]
+        rules += [(c, f"max_length_{n}", f"length({c}) > {n}") for c, n in spec.max_length.items()]
+        for c, allowed in DOMAINS.get(spec.name, {}).items():
+            lst = ", ".join(f"'{v}'" for v in allowed)
+            rules.append((c, "domain", f"{c} is not null and {c} not in ({lst})"))
+        for c, r, pred in rules:
+            parts.append(f"select '{spec.name}' dataset, '{c}' column_name, '{r}' rule, "
+                         f"count(*) filter (where {pred}) violations from {view}")
+    return with_ctes(ALL_VIEWS, "\nunion all\n".join(parts))
+
+
+_PATH_NORM = """
+p as (select event_id, trim(file_path) t from pay_files),
+n as (select event_id, t,
+        case when starts_with(t, 's3a://') then 's3a://' || replace(substr(t, 7), '//', '/')
+             when starts_with(t, 's3://') then 's3://' || replace(substr(t, 6), '//', '/') end norm,
+        case when starts_with(t, 's3a://') then 's3a://bucket/'
+             when starts_with(t, 's3://') then 's3://bucket/' end prefix
+      from p),
+k as (select event_id, t,
+        case when norm is null then null
+             when instr(norm, prefix) > 0
+             then substr(norm, 1, instr(norm, prefix) - 1) || substr(norm, instr(norm, prefix) + length(prefix))
+             else norm end source_key
+      from n),
+f as (select *, string_split(regexp_replace(source_key, '/+$', ''), '/')[-1] fname from k)"""
+
+SQL.update({
+    "src_csv_scan": with_ctes(("pay_transactions_csv",), "select * from pay_transactions_csv"),
+    "src_route_files": with_ctes(("pay_files",), f"""
+select event_id, file_path, {_file_name('file_path')} file_name, {_ROUTE_CASE} dataset
+from pay_files"""),
+    "src_multi_file_union": with_ctes(("pay_settlements",), "select * from pay_settlements"),
+    "src_list_files": with_ctes(("pay_settlements",), """
+select distinct 'drop=' || cast(year(settlement_date) as varchar) parent from pay_settlements"""),
+    "src_mart_year_scan": with_ctes(("mart_txn",), """
+select * from mart_txn where transaction_year = 1995"""),
+    "snk_partitioned_roundtrip": with_ctes(("mart_stl",), "select * from mart_stl"),
+    "snk_idempotent_append": with_ctes(("mart_ref",), "select * from mart_ref"),
+    "val_file_extension": with_ctes(("pay_files",), """
+select event_id, file_path, suffix(lower(file_path), '.csv') is_valid from pay_files"""),
+    "val_missing_columns": """
+select * from (values ('dim_customer', '', true), ('dim_merchant', '', true),
+  ('dim_payment_channel', '', true), ('fact_refunds', '', true),
+  ('fact_settlements', '', true), ('fact_transactions', '', true),
+  ('fact_refunds_bad', 'refund_status', false)) v(folder, missing_columns, is_valid)""",
+    "path_normalize": with_ctes(("pay_files",), "") + "," + _PATH_NORM + """
+select event_id, (starts_with(t, 's3://') or starts_with(t, 's3a://')) is_valid_scheme,
+       source_key, fname file_name, 'processing/' || fname destination_key,
+       's3a://bucket/processed/' || fname processed_path
+from f""",
+    "prof_dataset_counts": with_ctes(ALL_VIEWS, "\nunion all\n".join(
+        f"select '{name}' dataset, count(*) record_count from (select distinct {PKS[name]} from {view})"
+        for name, view in DATASET_VIEWS.items())),
+    "dq_pk_duplicates": with_ctes(ALL_VIEWS, "\nunion all\n".join(
+        f"select '{name}' dataset, cast({PKS[name]} as varchar) key_value, count(*) n_rows "
+        f"from {view} group by {PKS[name]} having count(*) > 1"
+        for name, view in DATASET_VIEWS.items())),
+    "dq_fk_orphans": _fk_sql(),
+    "dq_domain_violations": _domain_sql(),
+    "led_current_state": _ledger("select * from ledger_current"),
+    "led_retryable": _ledger("""
+select file_name, error_type, attempts from ledger_current
+where status = 'F' and error_type in ('SYSTEM_FAILURE', 'NETWORK_FAILURE')"""),
+    "led_stale_active": _ledger("""
+select file_name, 'F' status, 'SYSTEM_FAILURE' error_type,
+       'Job terminated unexpectedly' error_message
+from ledger_current where status = 'A'"""),
+})

@@ -9,7 +9,6 @@ unset (local tests), never on a cluster that already names one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -57,7 +56,6 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     root = checkpoint_root(spark)
-    path = f"{root}/paylake/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    # Not created here: Spark writers create it, and an absent folder means
+    # "no table yet" to the idempotent sink.
+    return f"{root}/paylake/{name}-{uuid.uuid4().hex[:12]}"
