@@ -22,6 +22,7 @@ from ..sinks import parquet as sinks
 from ..sources import csv as csvsrc
 from ..sources import files as filesrc
 from ..sources import tables as fx
+from ..streaming import ingest
 
 
 class Marts:
@@ -211,6 +212,35 @@ def _led_stale(spark: SparkSession, d: str) -> DataFrame:
         "file_name", "status", "error_type", "error_message")
 
 
+# --------------------------------------------------------------- streaming
+
+def _stream_ingest_once(spark: SparkSession, d: str) -> DataFrame:
+    """Land the transaction files, ingest them with two availableNow runs of one
+    file stream (the second finds nothing new), archive what was read."""
+    root = scratch_dir(spark, "stream-ingest")
+    landing = f"{root}/landing/fact_transactions"
+    csvsrc.write_csv(fx.transactions_clean(fx.transactions_raw(spark, d)), landing)
+    for _ in range(2):
+        stream = ingest.file_stream(spark, landing, S.TRANSACTIONS,
+                                    archive_dir=f"{root}/processed")
+        ingest.ingest_available(stream, f"{root}/sink", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/sink")
+
+
+def _stream_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Two daily drops (closed lines first, open lines a run later) repeat many
+    transaction ids; the deduplicating stream keeps each id once, first drop wins."""
+    root = scratch_dir(spark, "stream-dedup")
+    landing, sink, ckpt = f"{root}/landing", f"{root}/sink", f"{root}/_checkpoint"
+    raw = fx.transactions_raw(spark, d)
+    for status in ("F", "O"):
+        csvsrc.write_csv(fx.transactions_clean(raw.where(F.col("l_linestatus") == status)),
+                         landing, mode="append")
+        ingest.dedup_into(ingest.file_stream(spark, landing, S.TRANSACTIONS), sink, ckpt,
+                          key="transaction_id", order=("transaction_timestamp",))
+    return spark.read.parquet(sink)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_transaction_performance": lambda spark, d: Marts(spark, d).transaction,
     "mart_merchant_settlement": lambda spark, d: Marts(spark, d).settlement,
@@ -248,4 +278,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "led_current_state": _led_current,
     "led_retryable": _led_retryable,
     "led_stale_active": _led_stale,
+    "stream_ingest_once": _stream_ingest_once,
+    "stream_dedup": _stream_dedup,
 }

@@ -358,3 +358,21 @@ select file_name, 'F' status, 'SYSTEM_FAILURE' error_type,
        'Job terminated unexpectedly' error_message
 from ledger_current where status = 'A'"""),
 })
+
+SQL.update({
+    "stream_ingest_once": with_ctes(("pay_transactions_csv",), "select * from pay_transactions_csv"),
+    # First drop (closed lines) wins; inside a drop the smallest row by
+    # (timestamp, then every other column in schema order) survives.
+    "stream_dedup": with_ctes(("pay_transactions_raw",), """
+select transaction_id, customer_id, merchant_id, channel_id, transaction_timestamp,
+       transaction_amount, transaction_status, failure_reason, device_type, bank_name, city,
+       processing_fee
+from (select *, cast(null as varchar) device_type, cast(null as varchar) bank_name,
+        row_number() over (partition by transaction_id order by
+          case when l_linestatus = 'F' then 0 else 1 end, transaction_timestamp nulls first,
+          customer_id nulls first, merchant_id nulls first, channel_id nulls first,
+          transaction_amount nulls first, transaction_status nulls first,
+          failure_reason nulls first, city nulls first, processing_fee nulls first) rn
+      from pay_transactions_raw) q
+where rn = 1"""),
+})
