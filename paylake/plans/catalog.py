@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
@@ -143,12 +144,15 @@ def _partitioned_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 def _idempotent_append(spark: SparkSession, d: str) -> DataFrame:
     """A partial batch, then the full batch twice: every refund ends up once."""
     kind = "refund_insights"
-    mart = Marts(spark, d).refund
+    # three appends reuse one computed mart (recomputed from lineage if a
+    # cached block is lost with its executor)
+    mart = Marts(spark, d).refund.persist(StorageLevel.MEMORY_AND_DISK)
     out = scratch_dir(spark, f"mart-{kind}")
     parts, key = marts.PARTITION_COLUMNS[kind], marts.MART_KEYS[kind]
     sinks.idempotent_append(mart.where(F.col("refund_reason") == "SERVICE_ISSUE"), out, key, parts)
     sinks.idempotent_append(mart, out, key, parts)
     sinks.idempotent_append(mart, out, key, parts)
+    mart.unpersist()
     return filesrc.read_mart(spark, out, kind)
 
 
