@@ -27,19 +27,25 @@ from ..streaming import ingest
 
 
 class Marts:
-    """The three marts of one ``(spark, sf_dir)``, built from one dedup each."""
+    """The three marts of one ``(spark, sf_dir)``.
+
+    Every dataset enters a mart with a primary key (null-key rows are
+    quarantine material) and deduplicated on it.  Transactions are
+    deduplicated once; refunds and settlements derive one row per surviving
+    transaction, so they are unique by construction and need no second
+    shuffle.  All consumers of the deduplicated transactions share one
+    identical subplan (the key filter is explicit, not inferred per join), so
+    AQE reuses its shuffle instead of recomputing it per consumer.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        raw = fx.transactions_raw(spark, sf_dir)
-        self.transactions_fixture = dedup.latest_by_key(raw, "transaction_id",
-                                                        order=fx.TXN_SURVIVOR_ORDER)
+        self.transactions_fixture = fx.transactions_keyed(spark, sf_dir)
         txn = fx.transactions_clean(self.transactions_fixture)
         merchant = dedup.latest_by_key(fx.merchants(spark, sf_dir), "merchant_id")
         channel = dedup.latest_by_key(fx.channels(spark, sf_dir), "channel_id")
         customer = dedup.latest_by_key(fx.customers(spark, sf_dir), "customer_id")
-        refunds = dedup.latest_by_key(fx.refunds_from(self.transactions_fixture), "refund_id")
-        settlements = dedup.latest_by_key(fx.settlements_from(self.transactions_fixture),
-                                          "settlement_id")
+        refunds = fx.refunds_from(self.transactions_fixture)
+        settlements = fx.settlements_from(self.transactions_fixture)
         self.transaction = marts.transaction_performance(txn, merchant, channel)
         self.settlement = marts.merchant_settlement(settlements, txn, merchant)
         self.refund = marts.refund_insights(refunds, txn, merchant, customer)
@@ -100,7 +106,7 @@ def _csv_scan(spark: SparkSession, d: str) -> DataFrame:
 def _settlement_drops(spark: SparkSession, d: str) -> str:
     """Settlements written as one CSV drop folder per settlement year."""
     root = scratch_dir(spark, "landing-settlements")
-    stl = fx.settlements_from(fx.transactions(spark, d))
+    stl = fx.settlements_from(fx.transactions_keyed(spark, d))
     (stl.withColumn("drop", F.year("settlement_date")).write.partitionBy("drop")
         .option("header", "true").csv(root))
     return root

@@ -51,6 +51,8 @@ select * exclude (rn) from (select *, row_number() over (partition by transactio
            l_quantity nulls first, l_extendedprice nulls first, l_discount nulls first,
            l_tax nulls first, l_returnflag nulls first, l_linestatus nulls first) rn
   from pay_transactions_raw) q where rn=1""",
+    "pay_transactions_keyed": """
+select * from pay_transactions where transaction_id is not null""",
     "pay_refunds": """
 select concat('REF',substring(transaction_id,4)) refund_id,
        case when l_tax > 0.07 then concat(transaction_id,'X') else transaction_id end transaction_id,
@@ -59,14 +61,14 @@ select concat('REF',substring(transaction_id,4)) refund_id,
        case when l_partkey % 3 = 0 then 'DUPLICATE_PAYMENT'
             when l_partkey % 3 = 1 then 'SERVICE_ISSUE' else 'CUSTOMER_CANCELLED' end refund_reason,
        'COMPLETED' refund_status
-from pay_transactions where l_returnflag='R' and transaction_status='SUCCESS'""",
+from pay_transactions_keyed where l_returnflag='R' and transaction_status='SUCCESS'""",
     "pay_settlements": """
 select concat('SET',substring(transaction_id,4)) settlement_id, merchant_id, transaction_id,
        cast(l_shipdate + interval 1 day as date) settlement_date,
        transaction_amount gross_amount, cast(processing_fee as decimal(12,2)) fee_amount,
        cast(transaction_amount - processing_fee as decimal(12,2)) net_amount,
        case when l_linestatus='O' then 'PENDING' else 'SETTLED' end settlement_status
-from pay_transactions where transaction_status='SUCCESS' and l_returnflag <> 'R'""",
+from pay_transactions_keyed where transaction_status='SUCCESS' and l_returnflag <> 'R'""",
     "pay_file_events": """
 select event_id, concat('file_',cast(user_id as varchar),'.csv') file_name, ts event_ts,
        case event_type when 'view' then 'A' when 'purchase' then 'C' else 'F' end status,
@@ -89,7 +91,7 @@ select t.transaction_id, t.customer_id, t.merchant_id, t.channel_id, t.transacti
        m.risk_tier, m.settlement_cycle,
        cast(year(t.transaction_timestamp) as integer) transaction_year,
        cast(month(t.transaction_timestamp) as integer) transaction_month
-from pay_transactions t
+from pay_transactions_keyed t
 left join pay_merchant m on t.merchant_id = m.merchant_id
 left join pay_channel c on t.channel_id = c.channel_id""",
     "mart_stl": """
@@ -100,7 +102,7 @@ select m.merchant_id, m.merchant_name, m.merchant_category, m.city, m.state, m.o
        s.transaction_id, s.gross_amount, s.fee_amount, s.net_amount, s.settlement_status,
        t.transaction_timestamp, t.transaction_status
 from pay_settlements s
-left join pay_transactions t on s.transaction_id = t.transaction_id
+left join pay_transactions_keyed t on s.transaction_id = t.transaction_id
 left join pay_merchant m on s.merchant_id = m.merchant_id""",
     "mart_ref": """
 select r.refund_id, r.transaction_id, r.customer_id, r.refund_timestamp, r.refund_amount,
@@ -110,7 +112,7 @@ select r.refund_id, r.transaction_id, r.customer_id, r.refund_timestamp, r.refun
        cast(year(r.refund_timestamp) as integer) refund_year,
        cast(month(r.refund_timestamp) as integer) refund_month
 from pay_refunds r
-left join pay_transactions t on r.transaction_id = t.transaction_id
+left join pay_transactions_keyed t on r.transaction_id = t.transaction_id
 left join pay_merchant m on m.merchant_id = t.merchant_id
 left join pay_customer c on c.customer_id = t.customer_id""",
 }
@@ -118,11 +120,12 @@ left join pay_customer c on c.customer_id = t.customer_id""",
 # CTE dependencies, so a statement can name only what it selects from.
 DEPS: dict[str, tuple[str, ...]] = {
     "pay_transactions": ("pay_transactions_raw",),
-    "pay_refunds": ("pay_transactions",),
-    "pay_settlements": ("pay_transactions",),
-    "mart_txn": ("pay_transactions", "pay_merchant", "pay_channel"),
-    "mart_stl": ("pay_settlements", "pay_transactions", "pay_merchant"),
-    "mart_ref": ("pay_refunds", "pay_transactions", "pay_merchant", "pay_customer"),
+    "pay_transactions_keyed": ("pay_transactions",),
+    "pay_refunds": ("pay_transactions_keyed",),
+    "pay_settlements": ("pay_transactions_keyed",),
+    "mart_txn": ("pay_transactions_keyed", "pay_merchant", "pay_channel"),
+    "mart_stl": ("pay_settlements", "pay_transactions_keyed", "pay_merchant"),
+    "mart_ref": ("pay_refunds", "pay_transactions_keyed", "pay_merchant", "pay_customer"),
 }
 
 

@@ -165,6 +165,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                          order=TXN_SURVIVOR_ORDER)
 
 
+def transactions_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pay_transactions restricted to rows with a transaction id: the input of
+    the marts and of the refund / settlement projections."""
+    raw = transactions_raw(spark, sf_dir).where(F.col("transaction_id").isNotNull())
+    return latest_by_key(raw, "transaction_id", order=TXN_SURVIVOR_ORDER)
+
+
 def refunds_from(txn: DataFrame) -> DataFrame:
     """pay_refunds, derived from a (deduplicated) transaction fixture."""
     tid = F.col("transaction_id")
@@ -247,7 +254,7 @@ def file_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 def payment_datasets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All six datasets in their own schemas, transactions NOT yet deduplicated."""
     raw = transactions_raw(spark, sf_dir)
-    txn = latest_by_key(raw, "transaction_id", order=TXN_SURVIVOR_ORDER)
+    txn = transactions_keyed(spark, sf_dir)
     return {
         "customer": customers(spark, sf_dir),
         "merchant": merchants(spark, sf_dir),
