@@ -45,13 +45,15 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     A Parquet row group cannot be split, so a file written as one row group
     scans in one task and everything fused into that stage (joins, the partial
     dedup aggregate) runs single-threaded.  When the scan has fewer splits than
-    ``defaultParallelism`` a round-robin repartition spreads the rows first.
-    At cluster scale (thousands of splits) the check fails and nothing is
-    added.  Planning the scan lists files but runs no job.
+    ``defaultParallelism`` the rows are spread first, hash-partitioned on all
+    columns: deterministic, so a retried task rebuilds the same partitions
+    (round-robin needs a local sort for that and costs more).  At cluster scale
+    (thousands of splits) the check fails and nothing is added.  Planning the
+    scan lists files but runs no job.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+        return df.repartition(target, *df.columns)
     return df
 
 
