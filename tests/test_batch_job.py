@@ -138,3 +138,21 @@ def test_stale_active_recovered_and_poison_file_capped(spark, cfg):
     assert cur.status == "F" and cur.attempts == 3        # stale recovery + 2 failed runs
     assert ledger.retryable(ledger.current_state(spark.read.parquet(cfg.ledger)),
                             max_attempts=3).count() == 0
+
+
+def test_stream_dedup_keeps_ledger(spark, tmp_path):
+    from paylake import schemas as S
+    from paylake.streaming import ingest
+    landing = f"{tmp_path}/landing"
+    write_text(f"{landing}/fact_transactions_1.csv", TXN)
+    write_text(f"{landing}/fact_transactions_2.csv", TXN.replace("T1,", "T9,"))
+    write_text(f"{landing}/notes.txt", "ignored")
+    led = f"{tmp_path}/ledger"
+    ingest.dedup_into(ingest.file_stream(spark, landing, S.TRANSACTIONS), f"{tmp_path}/sink",
+                      f"{tmp_path}/ckpt", key="transaction_id",
+                      order=("transaction_timestamp",), ledger_path=led)
+    ids = sorted(r.transaction_id for r in spark.read.parquet(f"{tmp_path}/sink").collect())
+    assert ids == ["T1", "T2", "T3", "T9"]
+    cur = {r.file_name: r.status for r in
+           ledger.current_state(spark.read.parquet(led)).collect()}
+    assert cur == {"fact_transactions_1.csv": "C", "fact_transactions_2.csv": "C"}
