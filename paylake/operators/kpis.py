@@ -127,18 +127,21 @@ def category_fee_revenue(stl_mart: DataFrame) -> DataFrame:
 def refund_rate(refund_mart: DataFrame, txn_mart: DataFrame) -> DataFrame:
     """R1: distinct refunded transaction ids per successful transaction, in percent.
 
-    One plan, one aggregate over a tagged union of both inputs (no join, no
-    driver-side arithmetic).  A null refunded id counts as one value, as a
-    ``select(...).distinct().count()`` would count it.
+    One plan: each side is reduced to a single row by its own aggregate (the
+    transaction side is a plain partial count; only refund ids go through the
+    distinct aggregation), the two rows are unioned and folded into one (no
+    join, no driver-side arithmetic).  A null refunded id counts as one value,
+    as a ``select(...).distinct().count()`` would count it.
     """
-    r = refund_mart.select(F.col("transaction_id").alias("_rid"), F.lit(False).alias("_is_txn"))
+    rid = F.col("transaction_id")
+    refunded = F.count_distinct(rid) + F.max(F.when(rid.isNull(), 1).otherwise(0))
+    r = refund_mart.agg(F.coalesce(refunded, F.lit(0)).cast("long").alias("refund_txn"),
+                        F.lit(None).cast("long").alias("total_success_txn"))
     t = (txn_mart.where(F.col("transaction_status") == SUCCESS)
-                 .select(F.lit(None).cast("string").alias("_rid"), F.lit(True).alias("_is_txn")))
-    u = r.unionByName(t)
-    refunded = (F.count_distinct("_rid")
-                + F.max(F.when(~F.col("_is_txn") & F.col("_rid").isNull(), 1).otherwise(0)))
-    agg = u.agg(refunded.cast("long").alias("refund_txn"),
-                F.count_if(F.col("_is_txn")).cast("long").alias("total_success_txn"))
+                 .agg(F.lit(None).cast("long").alias("refund_txn"),
+                      F.count(F.lit(1)).cast("long").alias("total_success_txn")))
+    agg = r.unionByName(t).agg(F.max("refund_txn").alias("refund_txn"),
+                               F.max("total_success_txn").alias("total_success_txn"))
     return agg.select("refund_txn", "total_success_txn",
                       F.round(F.try_divide(F.col("refund_txn").cast("double"),
                                            F.col("total_success_txn").cast("double"))

@@ -156,3 +156,19 @@ def test_stream_dedup_keeps_ledger(spark, tmp_path):
     cur = {r.file_name: r.status for r in
            ledger.current_state(spark.read.parquet(led)).collect()}
     assert cur == {"fact_transactions_1.csv": "C", "fact_transactions_2.csv": "C"}
+
+
+def test_header_mismatch_fails_file_with_schema_failure(spark, cfg):
+    write_text(f"{cfg.landing}/dim_payment_channel_ok.csv", CHANNEL)
+    write_text(f"{cfg.landing}/dim_payment_channel_swapped.csv",
+               "channel_type,channel_id,provider_name\nUPI,1,PhonePe\n")
+    write_text(f"{cfg.landing}/dim_payment_channel_short.csv",
+               "channel_id,channel_type\n3,WALLET\n")
+    res = run_batch(spark, cfg)
+    assert [p.rsplit("/", 1)[1] for p in res.processed_files] == ["dim_payment_channel_ok.csv"]
+    cur = {r.file_name: (r.status, r.error_type, r.error_message) for r in
+           ledger.current_state(spark.read.parquet(cfg.ledger)).collect()}
+    assert cur["dim_payment_channel_swapped.csv"][:2] == ("F", "SCHEMA_FAILURE")
+    assert "out of order" in cur["dim_payment_channel_swapped.csv"][2]
+    assert "missing=['provider_name']" in cur["dim_payment_channel_short.csv"][2]
+    assert spark.read.parquet(f"{cfg.warehouse}/base/channel").count() == 2
