@@ -197,3 +197,50 @@ def refund_kpis(refund_mart: DataFrame, txn_mart: DataFrame) -> dict[str, DataFr
             "top_refund_merchants": top_refund_merchants(refund_mart),
             "refund_reasons": refund_reasons(refund_mart),
             "repeat_refund_customers": repeat_refund_customers(refund_mart)}
+
+
+# ------------------------------------------------------- single-pass variants
+#
+# The five transaction KPIs read the same mart.  Instead of five scans, one
+# partial-aggregated pass builds a summary keyed by (day, channel type, city,
+# status) whose size is bounded by those cardinalities, not by the data; every
+# KPI is then an exact re-aggregation of the summary (decimal sums and counts
+# are associative).
+
+def transaction_summary(txn_mart: DataFrame) -> DataFrame:
+    amt, fee = F.col("transaction_amount"), F.col("processing_fee")
+    return (txn_mart.groupBy(F.date_format("transaction_timestamp", "yyyy-MM-dd").alias("Day"),
+                             "channel_type", "city", "transaction_status")
+                    .agg(F.count(F.lit(1)).alias("n_rows"),
+                         F.count("transaction_id").alias("n_ids"),
+                         F.sum(amt).alias("amount_sum"), F.count(amt).alias("amount_n"),
+                         F.sum(fee).alias("fee_sum")))
+
+
+def transaction_kpis_from_summary(summary: DataFrame) -> dict[str, DataFrame]:
+    ok = F.col("transaction_status") == SUCCESS
+    succ = summary.where(ok)
+    month = F.substr(F.col("Day"), F.lit(1), F.lit(7))
+    hits = F.sum(F.when(ok, F.col("n_rows")).otherwise(0))
+    return {
+        "daily_volume": (summary.groupBy("Day")
+                                .agg(F.sum("n_ids").alias("daily_transaction_volume"))
+                                .orderBy(F.col("Day").asc_nulls_first())),
+        "success_rate": summary.agg(_pct(hits, F.sum("n_rows")).alias("success_rate")),
+        "channel_revenue": (succ.groupBy("channel_type")
+                                .agg(_money(F.sum("fee_sum")).alias("channel_revenue"))
+                                .orderBy(F.col("channel_revenue").desc_nulls_last(),
+                                         F.col("channel_type").asc_nulls_first())),
+        "city_payments": (succ.groupBy("city")
+                              .agg(F.sum("n_ids").alias("txn_count"),
+                                   _money(F.sum("amount_sum")).alias("payment_amount"),
+                                   F.round(F.try_divide(F.sum("amount_sum").cast("double"),
+                                                        F.sum("amount_n").cast("double")), 2)
+                                    .alias("avg_ticket_size"))
+                              .orderBy(F.col("payment_amount").desc_nulls_last(),
+                                       F.col("city").asc_nulls_first())),
+        "monthly_channel_success": (summary.groupBy(month.alias("month"), "channel_type")
+                                           .agg(_pct(hits, F.sum("n_rows")).alias("success_rate"))
+                                           .orderBy(F.col("month").asc_nulls_first(),
+                                                    F.col("channel_type").asc_nulls_first())),
+    }

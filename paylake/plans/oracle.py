@@ -379,3 +379,6 @@ from (select *, cast(null as varchar) device_type, cast(null as varchar) bank_na
       from pay_transactions_raw) q
 where rn = 1"""),
 })
+
+# The batch job's written KPI equals the KPI over the oracle mart.
+SQL["job_run_batch"] = SQL["kpi_monthly_channel_success"]

@@ -73,3 +73,13 @@ def test_settlement_lookup_reuses_dedup_partitioning(spark):
     # the deduplicated transactions are computed once and shared
     assert final.count("lineitem.parquet") == 1
     assert "ReusedExchange" in final
+
+
+def test_single_pass_transaction_kpis_equal_direct(spark):
+    m = Marts(spark, SF_SMALL).transaction
+    direct = kpis.transaction_kpis(m)
+    via = kpis.transaction_kpis_from_summary(kpis.transaction_summary(m))
+    assert direct.keys() == via.keys()
+    for k in direct:
+        assert direct[k].columns == via[k].columns, k
+        assert direct[k].collect() == via[k].collect(), k     # same rows, same order
