@@ -26,12 +26,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# Measured payload bytes; the in-memory hash relation is a small multiple.
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def maybe_broadcast(dim: DataFrame, known_rows: int | None,
-                    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the row count is known and bounded."""
-    if known_rows is not None and known_rows <= max_rows:
+def maybe_broadcast(dim: DataFrame, known_rows: int | tuple[int, int] | None,
+                    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only when the size is known and bounded.
+
+    ``known_rows`` is a measured row count, or ``(rows, payload_bytes)`` as
+    ``profile.dataset_sizes`` measures them; both must be within the limits.
+    """
+    if known_rows is None:
+        return dim
+    rows, size = known_rows if isinstance(known_rows, tuple) else (known_rows, None)
+    if rows <= max_rows and (size is None or size <= max_bytes):
         return F.broadcast(dim)
     return dim
 
