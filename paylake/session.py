@@ -44,11 +44,15 @@ def local_session(cores: int | str = "*", app: str = "paylake", extra: dict | No
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; created locally only if unset."""
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:   # Spark Connect: only the SQL conf is visible
+        sc = None
+    d = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        # unset: local tests only; a cluster names a shared folder
         d = tempfile.mkdtemp(prefix="paylake-ckpt-")
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 

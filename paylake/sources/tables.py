@@ -51,19 +51,30 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     (thousands of splits) the check fails and nothing is added.  Planning the
     scan lists files but runs no job.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:   # no RDD view of the plan (e.g. a Spark Connect session)
+        return df
+    if splits < target:
         return df.repartition(target, *df.columns)
     return df
 
 
+def _session_key(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return f"session-{id(spark)}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One given (read-only) table.  Each table is resolved once per session,
     as a registered view would be: its schema comes from the Parquet footers
     and its file listing is kept by the DataFrame, so later queries skip both.
     ``clear_tables`` forgets them (as ``REFRESH TABLE`` would)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (_session_key(spark), path)
     df = _READS.get(key)
     if df is None:
         df = spark.read.parquet(path)
