@@ -1,7 +1,6 @@
 """End-to-end batch job on hand-made CSV drops: ledger, retries, idempotent marts."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import write_text
 from paylake.operators import ledger

@@ -1,7 +1,6 @@
 """Plan checks: the physical plans are the ones we want at scale."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from __spark_entry__ import queries
