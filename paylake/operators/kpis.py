@@ -207,9 +207,12 @@ def refund_kpis(refund_mart: DataFrame, txn_mart: DataFrame) -> dict[str, DataFr
 # KPI is then an exact re-aggregation of the summary (decimal sums and counts
 # are associative).
 
-def transaction_summary(txn_mart: DataFrame) -> DataFrame:
+def transaction_summary(txn_mart: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    """``extra_keys`` (e.g. the mart's year/month partition columns) are carried
+    so the summary can be maintained per partition."""
     amt, fee = F.col("transaction_amount"), F.col("processing_fee")
-    return (txn_mart.groupBy(F.date_format("transaction_timestamp", "yyyy-MM-dd").alias("Day"),
+    return (txn_mart.groupBy(*extra_keys,
+                             F.date_format("transaction_timestamp", "yyyy-MM-dd").alias("Day"),
                              "channel_type", "city", "transaction_status")
                     .agg(F.count(F.lit(1)).alias("n_rows"),
                          F.count("transaction_id").alias("n_ids"),

@@ -171,3 +171,25 @@ def test_header_mismatch_fails_file_with_schema_failure(spark, cfg):
     assert "out of order" in cur["dim_payment_channel_swapped.csv"][2]
     assert "missing=['provider_name']" in cur["dim_payment_channel_short.csv"][2]
     assert spark.read.parquet(f"{cfg.warehouse}/base/channel").count() == 2
+
+
+def test_incremental_summary_and_dimension_snapshots(spark, cfg):
+    _drop(cfg.landing, "20260101")
+    run_batch(spark, cfg)
+    write_text(f"{cfg.landing}/fact_transactions_20260102.csv", TXN.splitlines()[0] + "\n"
+               "T7,1,1,1,2026-01-01 18:00:00,10.00,SUCCESS,,MOBILE,HDFC,Pune,0.15\n")
+    write_text(f"{cfg.landing}/dim_merchant_20260102.csv", MERCHANT.replace("M1,", "M1-renamed,"))
+    res = run_batch(spark, cfg)
+    vol = {r.Day: r.daily_transaction_volume for r in res.kpis["daily_volume"].collect()}
+    assert vol == {"2026-01-01": 3, "2026-02-03": 1}       # January recomputed, February kept
+    sr = res.kpis["success_rate"].collect()[0].success_rate
+    assert sr == 75.0
+    # two dimension snapshots exist; the current one has the renamed merchant
+    base = spark.read.parquet(f"{cfg.warehouse}/base/merchant")
+    assert base.select("_v").distinct().count() == 2
+    from paylake.plans.batch import _dims_current
+    cur = {r.merchant_id: r.merchant_name for r in _dims_current(spark, cfg.warehouse)["merchant"].collect()}
+    assert cur == {1: "M1-renamed", 2: "M2"}
+    t7 = [r for r in spark.read.parquet(f"{cfg.warehouse}/marts/transaction_performance").collect()
+          if r.transaction_id == "T7"][0]
+    assert t7.merchant_name == "M1-renamed"
