@@ -231,12 +231,14 @@ def _job_run_batch(spark: SparkSession, d: str) -> DataFrame:
     from .batch import BatchConfig, run_batch
 
     root = scratch_dir(spark, "job")
-    txn = fx.transactions_keyed(spark, d)
+    # landing the drops reuses one computed transaction set for three files
+    txn = fx.transactions_keyed(spark, d).persist(StorageLevel.MEMORY_AND_DISK)
     drops = {"customer": fx.customers(spark, d), "merchant": fx.merchants(spark, d),
              "channel": fx.channels(spark, d), "transactions": fx.transactions_clean(txn),
              "refunds": fx.refunds_from(txn), "settlements": fx.settlements_from(txn)}
     for name, df in drops.items():
         csvsrc.write_csv(df, f"{root}/landing/{S.BY_NAME[name].token}_drop1")
+    txn.unpersist()
     cfg = BatchConfig(landing=f"{root}/landing", warehouse=f"{root}/warehouse",
                       ledger=f"{root}/ledger", route_by_folder=True)
     run_batch(spark, cfg)
