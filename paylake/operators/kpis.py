@@ -247,3 +247,36 @@ def transaction_kpis_from_summary(summary: DataFrame) -> dict[str, DataFrame]:
                                            .orderBy(F.col("month").asc_nulls_first(),
                                                     F.col("channel_type").asc_nulls_first())),
     }
+
+
+# The four settlement KPIs from one summary keyed by (month, merchant,
+# category, status); exact for the same reason.
+
+def settlement_summary(stl_mart: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    return (stl_mart.groupBy(*extra_keys,
+                             F.date_format("settlement_date", "yyyy-MM").alias("month"),
+                             "merchant_id", "merchant_name", "merchant_category",
+                             "settlement_status")
+                    .agg(F.count(F.lit(1)).alias("n_rows"),
+                         F.sum("net_amount").alias("net_sum"),
+                         F.sum("fee_amount").alias("fee_sum")))
+
+
+def settlement_kpis_from_summary(summary: DataFrame) -> dict[str, DataFrame]:
+    pending = F.sum(F.when(F.col("settlement_status") == PENDING, F.col("n_rows")).otherwise(0))
+    return {
+        "monthly_settled": (summary.groupBy("month")
+                                   .agg(_money(F.sum("net_sum")).alias("total_settled_amount"))
+                                   .orderBy(F.col("month").asc_nulls_first())),
+        "pending_settlement_pct": summary.agg(
+            _pct(pending, F.sum("n_rows")).alias("pending_settlement_pct")),
+        "merchant_payout": (summary.groupBy("merchant_id", "merchant_name")
+                                   .agg(_money(F.sum("net_sum")).alias("merchant_net_payout"))
+                                   .orderBy(F.col("merchant_net_payout").desc_nulls_last(),
+                                            F.col("merchant_id").asc_nulls_first(),
+                                            F.col("merchant_name").asc_nulls_first())),
+        "category_fee_revenue": (summary.groupBy("merchant_category")
+                                        .agg(_money(F.sum("fee_sum")).alias("fee_revenue"))
+                                        .orderBy(F.col("fee_revenue").desc_nulls_last(),
+                                                 F.col("merchant_category").asc_nulls_first())),
+    }

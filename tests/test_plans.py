@@ -82,3 +82,13 @@ def test_single_pass_transaction_kpis_equal_direct(spark):
     for k in direct:
         assert direct[k].columns == via[k].columns, k
         assert direct[k].collect() == via[k].collect(), k     # same rows, same order
+
+
+def test_single_pass_settlement_kpis_equal_direct(spark):
+    m = Marts(spark, SF_SMALL).settlement
+    direct = kpis.settlement_kpis(m)
+    via = kpis.settlement_kpis_from_summary(kpis.settlement_summary(m))
+    assert direct.keys() == via.keys()
+    for k in direct:
+        assert direct[k].columns == via[k].columns, k
+        assert direct[k].collect() == via[k].collect(), k
