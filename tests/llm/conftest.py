@@ -1,0 +1,50 @@
+import os
+from types import SimpleNamespace
+
+import pytest
+from pyspark.sql import types as T
+
+DOC = T.StructType([T.StructField(n, t) for n, t in (
+    ("doc_id", T.LongType()), ("text", T.StringType()), ("lang", T.StringType()),
+    ("source", T.StringType()), ("n_chars", T.LongType()))])
+
+#: Texts with the cases that every operator must take.
+EDGES = ["", None, " ", "\n\n", "a", "x " * 30_000, "Ünïcödé 漢字 😀 ’  　 end", "tab\tand\r\nline",
+         "<|endoftext|> inside <|endoftext|>", "same words here again", "same words here again",
+         "it's we'll 'tis don''t", "\u0000\u0001 control", "aaaa" * 5000]
+
+
+@pytest.fixture(scope="session")
+def edge_docs(spark):
+    rows = [(i, t, None, "s", None) for i, t in enumerate(EDGES)]
+    rows += [(None, "no id", "en", None, 5), (None, None, None, None, None), (3, "\n\n", None, "s", None)]
+    return spark.createDataFrame(rows, DOC)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], DOC)
+
+
+@pytest.fixture(scope="session")
+def small():
+    return "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def read(spark, small):
+    return lambda name: spark.read.parquet(os.path.join(small, f"{name}.parquet"))
+
+
+@pytest.fixture(scope="session")
+def clash():
+    """Adds columns whose names operators use for results and inside."""
+    from pyspark.sql import functions as F
+
+    names = ("n_tokens", "row", "key", "label", "score", "n", "term", "rep", "ids", "piece", "length",
+             "sequence_id", "kept", "v", "leaf", "rank", "licenses", "_url", "host", "low")
+
+    def add(df):
+        return df.withColumns({c: F.lit("x") for c in names if c not in df.columns})
+
+    return SimpleNamespace(add=add, names=names)

@@ -1,0 +1,94 @@
+import hashlib
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from paylake.llm import pii
+
+RULES = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def ok(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in value.split("."))
+    if kind == "card":
+        odd = [int(d) for d in digits[::-1][::2]]
+        even = [sum(divmod(2 * int(d), 10)) for d in digits[::-1][1::2]]
+        return 12 <= len(digits) <= 19 and (sum(odd) + sum(even)) % 10 == 0
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def brute(text):
+    out = [(m.start(), k, m.end()) for k, (kind, p) in enumerate(RULES.items())
+           for m in re.finditer(p, text) if ok(kind, m.group())]
+    return sorted(out)
+
+
+PARTS = ["a@b.c", "@", ".", "x_y", "d@e-f.g.h", " ", "1.2.3.4", "300.1.1.1", "4111 1111 1111 1111", "-", "+1 ",
+         "(980) 555-6268", "5", "é", "12", "0001.2.3.4", "+", "a.b@c.d_e@f.g", "1" * 25]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=14).map("".join))
+def test_base_spans_equal_the_rules(text):
+    assert pii.base_spans(text) == brute(text)
+
+
+def test_long_runs_are_linear():
+    for text in ("a" * 300_000, "1" * 300_000, "a@" * 100_000, "+1" + " " * 300_000, "1." * 150_000):
+        pii.base_spans(text)
+
+
+def test_report_equals_rules_on_given_texts(spark, read):
+    docs = read("documents")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    rows = pii.pii_report(docs).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = brute(texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(pii.listed(want).encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[1] == k for s in want) for k in range(4)]
+        assert {x for x in r.spans.split(",") if "term" not in x} == {x for x in pii.listed(want).split(",")}
+
+
+@pytest.fixture(scope="module")
+def leaking(spark):
+    """The word Zebrafish stands only near one address, in many contexts, and
+    once elsewhere without it; other words are common."""
+    rows = [(i, f"Report {i} number {i * 7} from Zebrafish boss@corp.example.org on topic {i + 100} today") for i in range(12)]
+    rows += [(100 + i, f"Report {i} number {i * 3} from someone on topic {i} today item{i}") for i in range(60)]
+    rows += [(500, "A note on Zebrafish matters, nothing else.")]
+    # copies of one text: rare words close to an address, but a single context
+    rows += [(600 + i, "Copied words quagga okapi tapir me@site.example.com vole shrew numbat") for i in range(20)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_disclosing_terms(leaking):
+    found = {r.term for r in pii.disclosing_terms(leaking).collect()}
+    assert "zebrafish" in found and not found & {"report", "from", "today", "quagga", "vole"}
+
+
+def test_terms_are_marked_and_masked_everywhere(leaking):
+    spans = {r.doc_id: r.spans for r in pii.pii_report(leaking).collect()}
+    assert spans[500] == "term:10:19" and "term" not in spans[600] and "term" not in spans[100]
+    text = {r.doc_id: r.text for r in pii.sanitise(leaking).collect()}
+    assert text[500] == "A note on [NAME] matters, nothing else."
+    assert "[EMAIL]" in text[3] and "Zebrafish" not in text[3] and "boss@" not in text[3]
+    assert text[110].startswith("Report 10")
+
+
+def test_edges(edge_docs, no_docs, clash):
+    assert pii.pii_report(clash.add(edge_docs)).count() == edge_docs.count()
+    assert pii.pii_report(no_docs).count() == 0
+    wide = clash.add(edge_docs)
+    out = pii.sanitise(wide)
+    assert out.columns == wide.columns and out.count() == wide.count()
+    assert out.where("text is null").count() == wide.where("text is null").count()

@@ -1,0 +1,68 @@
+import random
+import zlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from paylake.llm import toxicity
+
+
+def brute_segments(scores):
+    """All maximal-scoring segments, recursively: the best one, then what is
+    left and right of it."""
+    best, where = 0.0, None
+    for a in range(len(scores)):
+        total = 0.0
+        for z in range(a, len(scores)):
+            total += scores[z]
+            if total > best + 1e-9:
+                best, where = total, (a, z)
+    if where is None:
+        return []
+    a, z = where
+    right = [(x + z + 1, y + z + 1, s) for x, y, s in brute_segments(scores[z + 1:])]
+    return brute_segments(scores[:a]) + [(a, z, best)] + right
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([-0.25, -0.25, -0.25, 1.0, 0.4375, 2.125]), max_size=40))
+def test_segments_equal_brute_force(scores):
+    at = [k for k, v in enumerate(scores) if v > 0]
+    got = toxicity.maximal_segments(at, [scores[k] for k in at], -0.25)
+    want = brute_segments(scores)
+    assert [(round(s, 6)) for *_, s in got] == [(round(s, 6)) for *_, s in want]
+
+
+def test_held_out_accuracy(spark):
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(300)]
+    rows, labels = [], []
+    for i in range(600):
+        text = rng.choices(words, k=rng.randint(5, 200))
+        bad = i % 6 == 0
+        if bad:
+            for _ in range(rng.randint(1, 4)):
+                text.insert(rng.randrange(len(text)), rng.choice(["scoundrel,", "Villain", "knave."]))
+        rows.append((i, " ".join(text)))
+        labels.append((i, 1, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    out = {r.doc_id: r for r in toxicity.toxicity(docs, known).collect()}
+    assert len(out) == 600
+    held = [i for i in range(600) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert {i for i, r in out.items() if r.held_out} == set(held)
+    right = sum(out[i].predicted == int(i % 6 == 0) for i in held)
+    assert right / len(held) > 0.97
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in out.values())
+
+
+def test_edges(spark, edge_docs, no_docs, clash, read):
+    labels = read("labels")
+    none = labels.limit(0)
+    out = toxicity.toxicity(clash.add(edge_docs), clash.add(labels)).collect()
+    assert len(out) == edge_docs.count() and all(r.score is not None for r in out)
+    assert {r.score for r in toxicity.toxicity(edge_docs, none).collect()} == {0.5}
+    assert toxicity.toxicity(no_docs, labels).count() == 0
+    odd = spark.createDataFrame([(1, None, None), (None, 1, 1), (2, 1, 1), (2, 1, 0), (2, 1, 1)],
+                                "doc_id long, quality int, toxic int")
+    assert toxicity.toxicity(edge_docs, odd).count() == edge_docs.count()
