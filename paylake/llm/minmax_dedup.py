@@ -15,11 +15,14 @@ Groups of copies cost no pairs of all with all:
   others (the original that copies were made from, as a rule), and each member
   is compared with the hubs of its buckets only; links are confirmed on the full
   sets and give components;
-* what the hubs leave open, pairs of one bucket in different components whose
-  signatures do not rule out a link, is then confirmed on the full sets as well.
-
-Members of a bucket that already are in one component are never compared, and
-buckets are cut into blocks, so no task gets an unbounded group.
+* what the hubs leave open, members of one bucket in different components, is
+  settled block by block: the documents around a hub are dealt to blocks of
+  bounded size, blocks that meet in a bucket are compared in one task, by
+  signature first and on the full sets where that does not rule a link out, and
+  only links leave the task.
+
+Documents that already are in one component are never compared again, and no
+task gets an unbounded group.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from collections import OrderedDict
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -43,9 +47,12 @@ ROWS = 5
 WORDS = 2 * PERMUTATIONS // 64
 #: Standard deviations of the signature's estimate below the threshold at which a
 #: pair is left out.
-MARGIN = 4.0
-#: Rows of a bucket that one task joins with the bucket's other rows.
-BLOCK = 1024
+MARGIN = 3.5
+#: Documents of a block; two blocks meet in one task.
+BLOCK = 128
+#: Size of the filter that tells which documents may share a bucket: fixed, so
+#: what is broadcast does not grow with the data; a join decides exactly.
+FILTER_BITS = 1 << 23
 #: Words of which a worker remembers the hash.
 REMEMBERED = 500_000
 
@@ -201,18 +208,105 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def least_agreement(percent: int) -> int:
+    """The number of signature values that two sets with the threshold's
+    similarity agree in at least, but for MARGIN standard deviations."""
+    values = 2 * PERMUTATIONS
+    agree = percent / 100 + (1 - percent / 100) / 4
+    return int((agree - MARGIN * math.sqrt(agree * (1 - agree) / values)) * values)
+
+
 def _similar(a: str, b: str, percent: int) -> Column:
     """Whether sizes and signature bits leave room for a link of rows a and b."""
-    values = 2 * PERMUTATIONS
     differ = reduce(lambda x, y: x + y, [F.bit_count(
         F.col(f"{a}.bits")[k].bitwiseXOR(F.col(f"{b}.bits")[k])
         .bitwiseOR(F.col(f"{a}.bits")[k + WORDS].bitwiseXOR(F.col(f"{b}.bits")[k + WORDS])))
         for k in range(WORDS)])
-    agree = percent / 100 + (1 - percent / 100) / 4
-    least = agree - MARGIN * math.sqrt(agree * (1 - agree) / values)
     size = ((100 * F.col(f"{a}.n") >= percent * F.col(f"{b}.n"))
             & (100 * F.col(f"{b}.n") >= percent * F.col(f"{a}.n")))
-    return size & (differ <= F.lit(int((1 - least) * values)))
+    return size & (differ <= F.lit(2 * PERMUTATIONS - least_agreement(percent)))
+
+
+def chosen_texts(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """rep, text of the rows of ``rows`` (doc_id, text) that ``ids`` (rep) names.
+
+    A bit map of the ids' hashes leaves out most other rows where they are read,
+    so that the join does not move the whole corpus."""
+    slot = F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS))
+    words = (ids.select((slot / 32).cast("int").alias("word"), (slot % 32).cast("int").alias("bit"))
+             .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).collect())
+    held = np.zeros(FILTER_BITS // 32, np.uint32)
+    for w in words:
+        held[w.word] = w.bits
+    held = rows.sparkSession.sparkContext.broadcast(held)
+
+    def run(batches):
+        for b in batches:
+            slots = b.column("slot").to_numpy(zero_copy_only=False)
+            yield b.filter(pa.array((held.value[slots >> 5] >> (slots & 31).astype(np.uint32) & 1).astype(bool)))
+
+    named = rows.where("doc_id is not null").select(
+        F.col("doc_id").alias("rep"), "text").withColumn("slot", slot)
+    near = named.mapInArrow(run, "rep long, text string, slot long")
+    return near.join(ids, "rep", "left_semi").groupBy("rep").agg(F.min("text").alias("text"))
+
+
+def _block_links(width: int, percent: int):
+    """Links between the documents of two blocks that are in different components."""
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            bits = [np.stack(t["bits"].to_numpy()).astype(np.int64).view(np.uint64) for t in (left, right)]
+            n = [t["n"].to_numpy() for t in (left, right)]
+            label = [t["label"].to_numpy() for t in (left, right)]
+            rep = [t["rep"].to_numpy() for t in (left, right)]
+            x = bits[0][:, None, :] ^ bits[1][None, :, :]
+            differ = np.bitwise_count(x[:, :, :WORDS] | x[:, :, WORDS:]).sum(axis=2)
+            ok = ((differ <= 2 * PERMUTATIONS - least_agreement(percent)) & (label[0][:, None] != label[1][None, :])
+                  & (rep[0][:, None] != rep[1][None, :])
+                  & (100 * n[0][:, None] >= percent * n[1][None, :]) & (100 * n[1][None, :] >= percent * n[0][:, None]))
+            sets: list[dict[int, np.ndarray]] = [{}, {}]
+            for i, j in zip(*np.nonzero(ok)):
+                for k, (side, at) in enumerate(((left, i), (right, j))):
+                    if at not in sets[k]:
+                        sets[k][at] = shingle_set(side["text"].iat[at], width)
+                s, t = sets[0][i], sets[1][j]
+                both = len(np.intersect1d(s, t, assume_unique=True))
+                if 100 * both >= percent * (len(s) + len(t) - both):
+                    out.append((int(rep[0][i]), int(rep[1][j])))
+        return pd.DataFrame(out, columns=["a", "b"]).astype({"a": "int64", "b": "int64"})
+
+    return run
+
+
+def open_links(member: DataFrame, labelled: DataFrame, hub: DataFrame, texts: DataFrame, width: int,
+               percent: int) -> DataFrame:
+    """Links (a, b) between documents that share a bucket and not a component.
+
+    ``member``: bucket, rep; ``labelled``: rep, n, bits, label; ``hub``: rep, hub.
+    """
+    for _ in range(2):  # to the hub of the hub: groups around lesser hubs join the group that they lie in
+        far = hub.select(F.col("rep").alias("hub"), F.col("hub").alias("far"))
+        hub = common.cut(hub.join(far, "hub", "left").select("rep", F.coalesce("far", "hub").alias("hub")), "nearest")
+    size = hub.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("parts"))
+    dealt = hub.join(size, "hub").select("rep", F.xxhash64(
+        "hub", F.pmod(F.xxhash64("rep"), F.col("parts"))).alias("block"))
+    known = common.cut(labelled.join(dealt, "rep"), "dealt")
+    here = (member.join(known.select("rep", "block", "label"), "rep").groupBy("bucket", "block")
+            .agg(F.min("label").alias("first"), F.max("label").alias("last")))
+    mixed = here.groupBy("bucket").agg(F.min("first").alias("low"), F.max("last").alias("high")).where("low <> high")
+    here = common.cut(here.join(mixed.select("bucket"), "bucket", "left_semi"), "meeting")
+    a, b = here.alias("a"), here.alias("b")
+    meeting = common.cut(
+        a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.block") <= F.col("b.block"))
+               & (F.least("a.first", "b.first") != F.greatest("a.last", "b.last")))
+        .select(F.col("a.block").alias("one"), F.col("b.block").alias("two")).distinct(), "pairs-of-blocks")
+    rows = common.cut(known.join(texts, "rep"), "block-rows")
+    names = ["one", "two", "rep", "n", "bits", "label", "text"]
+    sides = [meeting.withColumn("block", F.col(c)).join(rows, "block").select(*names).toDF(*names)
+             .groupBy("one", "two") for c in ("one", "two")]
+    return sides[0].cogroup(sides[1]).applyInPandas(_block_links(width, percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -241,9 +335,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     member = common.cut(member.join(sizes, "bucket"), "members")
     degree = member.groupBy("rep").agg(F.sum("size").alias("degree"))
     involved = common.cut(classes.join(degree, "rep").select("rep", "n", "bits", "degree"), "involved")
-    texts = common.cut(rows.join(involved.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-                       .groupBy("doc_id").agg(F.min("text").alias("text"))
-                       .withColumnRenamed("doc_id", "rep"), "texts")
+    texts = common.cut(chosen_texts(rows, involved.select("rep")), "texts")
     hubs = common.cut(member.join(involved.select("rep", "degree"), "rep").groupBy("bucket")
                       .agg(F.min(F.struct(-F.col("degree"), "rep"))["rep"].alias("hub")), "hubs")
     stars = member.join(hubs, "bucket").where("rep <> hub").select(F.col("rep").alias("one"), "hub").distinct()
@@ -254,22 +346,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     links = common.cut(confirmed(common.cut(stars, "stars"), texts, width, percent), "links")
     label = components(links)
 
-    # what the hubs left open: pairs of a bucket in different components
+    # what the hubs left open
     labelled = (involved.join(label.withColumnRenamed("node", "rep"), "rep", "left")
-                .withColumn("label", F.coalesce("label", "rep")))
-    member = common.cut(member.join(labelled.select("rep", "label"), "rep"), "labelled")
-    mixed = common.cut(member.groupBy("bucket").agg(F.min("label").alias("first"), F.max("label").alias("last"))
-                       .where("first <> last").select("bucket"), "mixed")
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    open_rows = common.cut(member.join(mixed, "bucket")
-                           .join(labelled.select("rep", "n", "bits"), "rep"), "open")
-    one = open_rows.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).alias("a")
-    all_ = open_rows.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).alias("b")
-    pairs = (one.join(all_, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.block") == F.col("b.block"))
-                      & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.label") != F.col("b.label"))
-                      & _similar("a", "b", percent))
-             .select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct())
-    more = confirmed(common.cut(pairs, "pairs"), texts, width, percent)
+                .select("rep", "n", "bits", F.coalesce("label", "rep").alias("label")))
+    nearest = (member.join(hubs, "bucket").join(involved.select(F.col("rep").alias("hub"), "degree"), "hub")
+               .groupBy("rep").agg(F.min(F.struct(-F.col("degree"), "hub"))["hub"].alias("hub")))
+    more = open_links(member.select("bucket", "rep"), labelled, common.cut(nearest, "nearest"), texts, width, percent)
     label = components(common.cut(links.union(more), "links"))
 
     final = (classes.select(*key, "rep").join(label.withColumnRenamed("node", "rep"), "rep", "left")
