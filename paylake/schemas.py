@@ -145,5 +145,6 @@ ERR_SYSTEM = "SYSTEM_FAILURE"
 ERR_NETWORK = "NETWORK_FAILURE"
 ERR_SCHEMA = "SCHEMA_FAILURE"
 ERR_UNKNOWN_DATASET = "UNKNOWN_DATASET"
+ERR_MISSING = "FILE_NOT_FOUND"
 RETRYABLE_ERRORS = (ERR_SYSTEM, ERR_NETWORK)
 MAX_ERROR_MESSAGE = 500

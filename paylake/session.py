@@ -50,7 +50,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     d = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        # unset: local tests only; a cluster names a shared folder
+        # unset: local mode only; on a cluster a temporary folder would be one machine's
+        if sc is None or not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="paylake-ckpt-")
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)

@@ -34,57 +34,9 @@ TXN_HELPERS = ("l_returnflag", "l_linestatus", "l_shipdate", "l_discount", "l_pa
                "l_suppkey", "l_quantity", "l_extendedprice", "l_tax")
 
 
-# The fact table whose scan feeds wide per-row work (joins, dedup aggregation).
-FACT_TABLES = ("lineitem",)
-_READS: dict[tuple[str, str], DataFrame] = {}
-
-
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread an under-split scan over the cluster's cores.
-
-    A Parquet row group cannot be split, so a file written as one row group
-    scans in one task and everything fused into that stage (joins, the partial
-    dedup aggregate) runs single-threaded.  When the scan has fewer splits than
-    ``defaultParallelism`` the rows are spread first, hash-partitioned on all
-    columns: deterministic, so a retried task rebuilds the same partitions
-    (round-robin needs a local sort for that and costs more).  At cluster scale
-    (thousands of splits) the check fails and nothing is added.  Planning the
-    scan lists files but runs no job.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:   # no RDD view of the plan (e.g. a Spark Connect session)
-        return df
-    if splits < target:
-        return df.repartition(target, *df.columns)
-    return df
-
-
-def _session_key(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:
-        return f"session-{id(spark)}"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One given (read-only) table.  Each table is resolved once per session,
-    as a registered view would be: its schema comes from the Parquet footers
-    and its file listing is kept by the DataFrame, so later queries skip both.
-    ``clear_tables`` forgets them (as ``REFRESH TABLE`` would)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (_session_key(spark), path)
-    df = _READS.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        df = ensure_parallelism(df) if name in FACT_TABLES else df
-        _READS[key] = df
-    return df
-
-
-def clear_tables() -> None:
-    _READS.clear()
+    """One given (read-only) table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _priority_digit() -> Column:

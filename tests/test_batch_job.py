@@ -47,7 +47,7 @@ def _drop(root, day):
 @pytest.fixture()
 def cfg(tmp_path):
     return BatchConfig(landing=f"{tmp_path}/landing", warehouse=f"{tmp_path}/wh",
-                       ledger=f"{tmp_path}/ledger", max_attempts=3)
+                       ledger=f"{tmp_path}/ledger")
 
 
 def _mart(spark, cfg, kind):
@@ -119,24 +119,83 @@ def test_quarantine_and_dimension_update(spark, cfg):
     assert cur == {1: "GPay", 2: "Visa"}
 
 
-def test_stale_active_recovered_and_poison_file_capped(spark, cfg):
-    write_text(f"{cfg.landing}/fact_transactions_bad.csv",
-               "transaction_id,customer_id\nT1,1\n")
+HEAD = TXN.splitlines()[0] + "\n"
+
+
+def _state(spark, cfg):
+    return {r.file_name: (r.status, r.error_type) for r in
+            ledger.current_state(spark.read.parquet(cfg.ledger)).collect()}
+
+
+def test_failures_do_not_use_up_healthy_files(spark, cfg):
+    path = write_text(f"{cfg.landing}/fact_transactions 1.csv", TXN)       # a name with a space
     # simulate a crashed run: the file was left Active
     from paylake import schemas as S
-    files = spark.createDataFrame([(f"{cfg.landing}/fact_transactions_bad.csv",
-                                    "fact_transactions_bad.csv")], "path string, file_name string")
+    files = spark.createDataFrame([(f"file:{path}", "fact_transactions 1.csv")], "path string, file_name string")
     ev = ledger.events_for(files, "A", location_col="path")
     ev.select(*S.LEDGER_EVENT.fieldNames()).write.mode("append").parquet(cfg.ledger)
-    for _ in range(4):
-        try:
+    for _ in range(3):
+        with pytest.raises(RuntimeError):
             run_batch(spark, cfg, fail_after="load")
-        except RuntimeError:
-            pass
-    cur = ledger.current_state(spark.read.parquet(cfg.ledger)).collect()[0]
-    assert cur.status == "F" and cur.attempts == 3        # stale recovery + 2 failed runs
-    assert ledger.retryable(ledger.current_state(spark.read.parquet(cfg.ledger)),
-                            max_attempts=3).count() == 0
+    res = run_batch(spark, cfg)
+    assert len(res.processed_files) == 1 and res.rejected_files == {}
+    assert _state(spark, cfg)["fact_transactions 1.csv"][0] == "C"
+
+
+def test_attempt_cap_is_an_option_and_reported(spark, cfg):
+    cfg.max_attempts = 1
+    write_text(f"{cfg.landing}/fact_transactions_1.csv", TXN)
+    with pytest.raises(RuntimeError):
+        run_batch(spark, cfg, fail_after="load")
+    res = run_batch(spark, cfg)
+    assert res.processed_files == [] and len(res.parked_files) == 1
+
+
+def test_file_known_by_path_and_time(spark, cfg):
+    import os
+    import time
+    path = write_text(f"{cfg.landing}/d1/dim_payment_channel.csv", "channel_type,channel_id,provider_name\nUPI,1,X\n")
+    write_text(f"{cfg.landing}/d2/dim_payment_channel.csv", CHANNEL)
+    res = run_batch(spark, cfg)
+    assert len(res.processed_files) == 1 and len(res.rejected_files) == 1
+    assert run_batch(spark, cfg).processed_files == []
+    time.sleep(1.1)
+    write_text(path, "channel_id,channel_type,provider_name\n3,WALLET,Paytm\n")  # corrected, same name
+    os.utime(path)
+    res = run_batch(spark, cfg)
+    assert [p.split("/")[-2] for p in res.processed_files] == ["d1"]
+    from paylake.plans.batch import _dims_current
+    assert _dims_current(spark, cfg.warehouse)["channel"].count() == 3
+
+
+def test_vanished_retry_file_is_ledgered_and_stops_nothing(spark, cfg):
+    import os
+    path = write_text(f"{cfg.landing}/fact_transactions_1.csv", TXN)
+    with pytest.raises(RuntimeError):
+        run_batch(spark, cfg, fail_after="load")
+    os.remove(path)
+    write_text(f"{cfg.landing}/dim_payment_channel_1.csv", CHANNEL)
+    res = run_batch(spark, cfg)
+    assert len(res.processed_files) == 1 and len(res.missing_files) == 1
+    assert _state(spark, cfg)["fact_transactions_1.csv"] == ("F", "FILE_NOT_FOUND")
+
+
+def test_key_re_sent_in_another_month_and_late_dimensions(spark, cfg):
+    write_text(f"{cfg.landing}/fact_transactions_1.csv", TXN)
+    write_text(f"{cfg.landing}/fact_settlements_1.csv", SETTLE)
+    run_batch(spark, cfg)                                     # facts before their dimensions
+    write_text(f"{cfg.landing}/dim_merchant_1.csv", MERCHANT)
+    write_text(f"{cfg.landing}/dim_payment_channel_1.csv", CHANNEL)
+    run_batch(spark, cfg)
+    assert _mart(spark, cfg, "transaction_performance").count() == 3
+    assert _mart(spark, cfg, "merchant_settlement").count() == 2
+    write_text(f"{cfg.landing}/fact_transactions_2.csv",
+               HEAD + "T1,1,1,1,2026-05-01 10:00:00,100.00,SUCCESS,,MOBILE,HDFC,Pune,1.50\n")
+    write_text(f"{cfg.landing}/fact_settlements_2.csv", SETTLE)
+    run_batch(spark, cfg)
+    assert spark.read.parquet(f"{cfg.warehouse}/base/transactions").count() == 3
+    assert _mart(spark, cfg, "transaction_performance").count() == 3
+    assert _mart(spark, cfg, "merchant_settlement").count() == 2
 
 
 def test_stream_dedup_keeps_ledger(spark, tmp_path):

@@ -92,13 +92,3 @@ def test_single_pass_settlement_kpis_equal_direct(spark):
     for k in direct:
         assert direct[k].columns == via[k].columns, k
         assert direct[k].collect() == via[k].collect(), k
-
-
-def test_ensure_parallelism_only_spreads_under_split_scans(spark, tmp_path):
-    target = spark.sparkContext.defaultParallelism
-    one = spark.range(1000).coalesce(1)
-    spread = fx.ensure_parallelism(one)
-    assert spread.rdd.getNumPartitions() == target
-    assert sorted(r.id for r in spread.collect()) == list(range(1000))   # same rows
-    many = spark.range(0, 1000, 1, target * 2)
-    assert fx.ensure_parallelism(many) is many
