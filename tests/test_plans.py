@@ -3,9 +3,8 @@
 import pytest
 
 from conftest import SF_SMALL
-from __spark_entry__ import queries
 from paylake.operators import dedup, joins, kpis, marts
-from paylake.plans.catalog import Marts
+from paylake.plans.catalog import QUERIES, Marts
 from paylake.sources import tables as fx
 from paylake.sources.files import read_mart
 from paylake.sinks.parquet import write_partitioned
@@ -22,9 +21,9 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(set(queries()) - WRITERS))
+@pytest.mark.parametrize("key", sorted(set(QUERIES) - WRITERS))
 def test_no_python_in_plans(spark, key):
-    p = plan(queries()[key](spark, SF_SMALL))
+    p = plan(QUERIES[key](spark, SF_SMALL))
     assert not any(n in p for n in PYTHON_NODES), key
 
 
