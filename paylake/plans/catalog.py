@@ -245,6 +245,28 @@ def _job_run_batch(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{cfg.warehouse}/kpis/monthly_channel_success")
 
 
+def _job_late_transactions(spark: SparkSession, d: str) -> DataFrame:
+    """Two batches: refunds and one half of the transactions, then channels and the
+    other half.  Refunds that came before their transaction find it in the end."""
+    from .batch import BatchConfig, run_batch
+
+    root = scratch_dir(spark, "job-late")
+    cfg = BatchConfig(landing=f"{root}/landing", warehouse=f"{root}/warehouse",
+                      ledger=f"{root}/ledger", route_by_folder=True)
+    keyed = fx.transactions_keyed(spark, d).persist(StorageLevel.MEMORY_AND_DISK)
+    txn = fx.transactions_clean(keyed)
+    late = F.crc32(F.col("transaction_id").cast("binary")) % 2 == 0
+    batches = ({"merchant": fx.merchants(spark, d), "customer": fx.customers(spark, d),
+                "transactions": txn.where(~late), "refunds": fx.refunds_from(keyed)},
+               {"channel": fx.channels(spark, d), "transactions": txn.where(late)})
+    for n, drops in enumerate(batches):
+        for name, df in drops.items():
+            csvsrc.write_csv(df, f"{cfg.landing}/{S.BY_NAME[name].token}_drop{n}")
+        run_batch(spark, cfg)
+    keyed.unpersist()
+    return filesrc.read_mart(spark, f"{cfg.warehouse}/marts/refund_insights", "refund_insights")
+
+
 # --------------------------------------------------------------- streaming
 
 def _stream_ingest_once(spark: SparkSession, d: str) -> DataFrame:
@@ -312,6 +334,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "led_retryable": _led_retryable,
     "led_stale_active": _led_stale,
     "job_run_batch": _job_run_batch,
+    "job_late_transactions": _job_late_transactions,
     "stream_ingest_once": _stream_ingest_once,
     "stream_dedup": _stream_dedup,
 }

@@ -382,3 +382,5 @@ where rn = 1"""),
 
 # The batch job's written KPI equals the KPI over the oracle mart.
 SQL["job_run_batch"] = SQL["kpi_monthly_channel_success"]
+# Over two batches, each refund finds its transaction whenever it comes.
+SQL["job_late_transactions"] = SQL["mart_refund_insights"]

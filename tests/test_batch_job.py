@@ -252,3 +252,45 @@ def test_incremental_summary_and_dimension_snapshots(spark, cfg):
     t7 = [r for r in spark.read.parquet(f"{cfg.warehouse}/marts/transaction_performance").collect()
           if r.transaction_id == "T7"][0]
     assert t7.merchant_name == "M1-renamed"
+
+
+def test_older_dimension_file_changes_nothing_and_late_transaction_is_found(spark, cfg):
+    import os
+    _drop(cfg.landing, "20260101")
+    write_text(f"{cfg.landing}/fact_refunds_20260106.csv", REFUND_LATE)
+    run_batch(spark, cfg)
+    old = write_text(f"{cfg.landing}/dim_merchant_old.csv", MERCHANT.replace("M1,", "M1-old,"))
+    os.utime(old, (1_600_000_000, 1_600_000_000))
+    write_text(f"{cfg.landing}/fact_transactions_late.csv",
+               HEAD + "TX,2,1,1,2025-12-30 10:00:00,5.00,SUCCESS,,MOBILE,HDFC,Pune,0.10\n")
+    # dies once the mart is written; the summary still has to learn of the new month
+    with pytest.raises(RuntimeError):
+        run_batch(spark, cfg, fail_after="refund_insights")
+    res = run_batch(spark, cfg)
+    ref = {r.refund_id: r for r in _mart(spark, cfg, "refund_insights").collect()}
+    assert sorted(ref) == ["R1", "R9"]
+    assert (ref["R9"].merchant_name, ref["R9"].transaction_status, ref["R9"].age_group) == ("M1", "SUCCESS", "26-35")
+    assert ref["R1"].merchant_name == "M1"
+    vol = {r.Day: r.daily_transaction_volume for r in res.kpis["daily_volume"].collect()}
+    assert vol == {"2025-12-30": 1, "2026-01-01": 2, "2026-02-03": 1}
+
+
+def test_stream_quarantines_rows_without_key(spark, tmp_path):
+    from paylake import schemas as S
+    from paylake.streaming import ingest
+    write_text(f"{tmp_path}/landing/fact_transactions_1.csv", TXN + TXN.splitlines()[1].replace("T1,", ",") + "\n")
+    ingest.dedup_into(ingest.file_stream(spark, f"{tmp_path}/landing", S.TRANSACTIONS), f"{tmp_path}/sink",
+                      f"{tmp_path}/ckpt", key="transaction_id", quarantine=f"{tmp_path}/bad")
+    assert sorted(r.transaction_id for r in spark.read.parquet(f"{tmp_path}/sink").collect()) == ["T1", "T2", "T3"]
+    assert [r._reason for r in spark.read.parquet(f"{tmp_path}/bad").collect()] == ["NULL_PK"]
+
+
+def test_fk_orphans_in_one_pass_match_the_anti_join(spark):
+    from paylake.operators import quality
+    cust = spark.createDataFrame([(1, 1), (2, 9), (3, None)], "customer_id int, preferred_channel_id int")
+    chan = spark.createDataFrame([(1,), (None,)], "channel_id int")
+    got = quality.fk_orphan_summary({"customer": cust, "channel": chan}).collect()
+    want = quality.fk_orphans(cust, chan, "preferred_channel_id", "channel_id").count()
+    assert [tuple(r) for r in got] == [("customer.preferred_channel_id->channel.channel_id", want)] and want == 1
+    none = quality.fk_orphan_summary({"customer": cust.limit(0), "channel": chan}).collect()
+    assert none[0].orphan_rows == 0
