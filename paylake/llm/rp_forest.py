@@ -4,7 +4,9 @@ Each tree halves a bounded sample of the vectors by random hyperplanes; every
 vector of the table is then routed to its leaf of each tree.  A query walks all
 trees through one shared priority queue, ordered by the smallest margin by which
 it missed the planes on the way, and so meets the leaves of the whole forest in
-order of promise.  The vectors of the leaves that it takes are reranked exactly.
+order of promise.  The vectors of the leaves that it takes are reranked exactly:
+first those of the most promising leaves, whose k-th best score then is the floor
+that candidates of the further leaves have to reach.
 
 For the inner product, vectors get one more component, sqrt(M^2 - |x|^2) with M
 the largest norm, and queries 0: nearest by angle is then largest by inner
@@ -111,22 +113,33 @@ def tuned_leaves(forest: Forest, sample: np.ndarray, largest: float, k: int, rec
     return int(min(total, max(forest.trees, np.ceil(np.quantile(need, recall)))))
 
 
+#: Pairs whose exact scores are computed at once.
+PAIRS = 1 << 16
+
+
 def _rerank(d: int, k: int):
+    """The k best of a block of vectors for each query of a block, as far as they
+    reach the query's ``floor``."""
+
     def run(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(vectors) or not len(queries):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
                 {"query_id": "int64", "vec_id": "int64", "score": "float64"})
         x, ids = matrix(vectors["v"], d), vectors["vec_id"].to_numpy()
         q, names = matrix(queries["v"], d), queries["query_id"].to_numpy()
+        floor = queries["floor"].to_numpy()
+        floor = floor - 1e-9 * (1 + np.abs(floor))  # rounding is far below this
         out = []
         for at in range(0, len(q), 256):
             score = q[at:at + 256] @ x.T
             own = names[at:at + 256, None] == ids[None, :]
             score[own] = -np.inf
             edge = np.partition(score, -k, axis=1)[:, -k] if score.shape[1] > k else np.full(len(score), -np.inf)
+            edge = np.fmax(edge, floor[at:at + 256])  # a null floor counts for nothing
             i, j = np.nonzero((score >= edge[:, None]) & ~own)
             # the product of two rows, summed in one order wherever the pair meets
-            exact = np.einsum("ij,ij->i", q[at + i], x[j])
+            exact = np.concatenate([np.einsum("ij,ij->i", q[at + i[s:s + PAIRS]], x[j[s:s + PAIRS]])
+                                    for s in range(0, len(i), PAIRS)] or [np.zeros(0)])
             best = best_pairs(i, ids[j], exact, k)
             out.append(pd.DataFrame({"query_id": names[at + i[best]], "vec_id": ids[j[best]], "score": exact[best]}))
         return pd.concat(out)
@@ -134,6 +147,28 @@ def _rerank(d: int, k: int):
     return run
 
 
+def leaf_candidates(index: DataFrame, probes: DataFrame, d: int, k: int) -> DataFrame:
+    """query_id, vec_id, score: the best k of each block that a query meets in its
+    ``leaves``.  ``index``: vec_id, v, leaves; ``probes``: these and floor.  A leaf
+    with many vectors or queries is dealt to blocks of bounded size."""
+    leaf = lambda t: t.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count()
+    # a row for each leaf of the forest: bounded by the forest
+    cells = leaf(index).withColumn("vector_blocks", F.ceil(F.col("count") / BLOCK).cast("int")).drop("count").join(
+        leaf(probes).withColumn("query_blocks", F.ceil(F.col("count") / BLOCK).cast("int")).drop("count"), "leaf")
+    cells = F.broadcast(common.cut(cells, "cells"))
+    spread = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    deal = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
+    vectors = (index.select("vec_id", "v", F.explode("leaves").alias("leaf")).join(cells, "leaf")
+               .select("leaf", deal("vector_blocks").alias("vb"), F.explode(spread("query_blocks")).alias("qb"),
+                       "vec_id", "v"))
+    queries = (probes.select("vec_id", "v", "floor", F.explode("leaves").alias("leaf")).join(cells, "leaf")
+               .select("leaf", F.explode(spread("vector_blocks")).alias("vb"), deal("query_blocks").alias("qb"),
+                       F.col("vec_id").alias("query_id"), "v", "floor"))
+    block = ["leaf", "vb", "qb"]
+    return vectors.groupBy(*block).cogroup(queries.groupBy(*block)).applyInPandas(
+        _rerank(d, k), "query_id long, vec_id long, score double")
+
+
 def forest_search(df: DataFrame, is_query, k: int = 20, recall: float = 0.96, trees: int = 6,
                   leaf_rows: int = 2048, sample: int = 20_000, id_col: str = "vec_id",
                   vector_col: str = "embedding") -> DataFrame:
@@ -179,20 +214,14 @@ def forest_search(df: DataFrame, is_query, k: int = 20, recall: float = 0.96, tr
     ddl = "vec_id long, v array<double>, leaves array<int>"
     index = common.cut(rows.mapInArrow(route, ddl), "index")
     probes = common.cut(rows.where(is_query).mapInArrow(probe, ddl), "probes")
-    leaf = lambda t: t.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count()
-    # a row for each leaf of the forest: bounded by the forest
-    cells = leaf(index).withColumn("vector_blocks", F.ceil(F.col("count") / BLOCK).cast("int")).drop("count").join(
-        leaf(probes).withColumn("query_blocks", F.ceil(F.col("count") / BLOCK).cast("int")).drop("count"), "leaf")
-    cells = F.broadcast(common.cut(cells, "cells"))
-    spread = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    deal = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
-    vectors = (index.select("vec_id", "v", F.explode("leaves").alias("leaf")).join(cells, "leaf")
-               .select("leaf", deal("vector_blocks").alias("vb"), F.explode(spread("query_blocks")).alias("qb"),
-                       "vec_id", "v"))
-    queries = (probes.select("vec_id", "v", F.explode("leaves").alias("leaf")).join(cells, "leaf")
-               .select("leaf", F.explode(spread("vector_blocks")).alias("vb"), deal("query_blocks").alias("qb"),
-                       F.col("vec_id").alias("query_id"), "v"))
-    block = ["leaf", "vb", "qb"]
-    found = vectors.groupBy(*block).cogroup(queries.groupBy(*block)).applyInPandas(
-        _rerank(d, k), "query_id long, vec_id long, score double")
+    # the most promising leaves give each query a floor, its k-th best score there;
+    # of the further leaves only what reaches it leaves a task, however many they are
+    first = probes.withColumns({"leaves": F.slice("leaves", 1, trees), "floor": F.lit(None).cast("double")})
+    found = common.cut(leaf_candidates(index, first, d, k), "near")
+    if take > trees:
+        floor = ranked(found, k).where(F.col("rank") == k).select(
+            F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
+        further = common.cut(probes.withColumn("leaves", F.slice("leaves", trees + 1, take))
+                             .join(floor, "vec_id", "left"), "further")
+        found = found.unionByName(leaf_candidates(index, further, d, k))
     return ranked(found, k)
