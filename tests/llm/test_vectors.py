@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +101,19 @@ def test_forest_recall(spark):
 def test_best_pairs_counts_an_id_once():
     q, i, s = np.array([0, 0, 0, 1]), np.array([5, 5, 3, 9]), np.array([2.0, 2.0, 2.0, 1.0])
     assert [(q[k], i[k]) for k in best_pairs(q, i, s, 2)] == [(0, 3), (0, 5), (1, 9)]
+
+
+def test_floor_leaves_out_only_what_lies_below_it():
+    rng = np.random.default_rng(3)
+    x, q = rng.standard_normal((300, 8)), rng.standard_normal((5, 8))
+    x[200:] = x[0]  # ties
+    vectors = pd.DataFrame({"vec_id": np.arange(300), "v": list(x)})
+    queries = pd.DataFrame({"query_id": np.arange(1000, 1005), "v": list(q), "floor": np.nan})
+    whole = rp_forest._rerank(8, 20)(vectors, queries)
+    floor = whole.groupby("query_id")["score"].nth(9).to_numpy()
+    floor[0] = np.nan  # a query without a floor
+    some = rp_forest._rerank(8, 20)(vectors, queries.assign(floor=floor))
+    edge = np.where(np.isnan(floor), -np.inf, floor)[whole["query_id"].to_numpy() - 1000]
+    want = whole[whole["score"].to_numpy() >= edge]
+    assert set(map(tuple, some.to_numpy())) == set(map(tuple, want.to_numpy()))
+    assert len(some) < len(whole)
