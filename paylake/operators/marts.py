@@ -6,7 +6,8 @@ side of every join is projected to the columns the mart needs and renamed, so
 the shuffled / broadcast rows stay narrow and the output needs no aliases.
 
 Each builder takes optional known dimension row counts (``dim_rows``) that
-allow an explicit, size-checked broadcast (``joins.maybe_broadcast``).
+allow an explicit, size-checked broadcast (``joins.maybe_broadcast``) within
+``limits`` (rows, payload bytes).
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import left_lookup, maybe_broadcast
+from .joins import DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, left_lookup, maybe_broadcast
 
 TRANSACTION_MART_COLUMNS = (
     "transaction_id", "customer_id", "merchant_id", "channel_id", "transaction_timestamp",
@@ -45,13 +46,17 @@ MART_KEYS = {
     "refund_insights": "refund_id",
 }
 
+#: Largest dimension that is broadcast, in rows and payload bytes.
+LIMITS = (DEFAULT_MAX_BROADCAST_ROWS, DEFAULT_MAX_BROADCAST_BYTES)
+
 
 def _rows(dim_rows: dict | None, name: str) -> int | None:
     return (dim_rows or {}).get(name)
 
 
 def transaction_performance(transactions: DataFrame, merchant: DataFrame, channel: DataFrame,
-                            dim_rows: dict | None = None) -> DataFrame:
+                            dim_rows: dict | None = None,
+                            limits: tuple[int, int] = LIMITS) -> DataFrame:
     """transactions LEFT JOIN merchant LEFT JOIN channel; year/month of the timestamp.
 
     ``city`` is the transaction's city and ``state`` the merchant's, as in the
@@ -60,10 +65,10 @@ def transaction_performance(transactions: DataFrame, merchant: DataFrame, channe
     m = maybe_broadcast(
         merchant.select(F.col("merchant_id").alias("_m_id"), "merchant_name",
                         "merchant_category", "state", "risk_tier", "settlement_cycle"),
-        _rows(dim_rows, "merchant"))
+        _rows(dim_rows, "merchant"), *limits)
     c = maybe_broadcast(
         channel.select(F.col("channel_id").alias("_c_id"), "channel_type", "provider_name"),
-        _rows(dim_rows, "channel"))
+        _rows(dim_rows, "channel"), *limits)
     t = transactions.select("transaction_id", "customer_id", "merchant_id", "channel_id",
                             "transaction_timestamp", "transaction_amount",
                             "transaction_status", "city", "processing_fee")
@@ -74,7 +79,8 @@ def transaction_performance(transactions: DataFrame, merchant: DataFrame, channe
 
 
 def merchant_settlement(settlements: DataFrame, transactions: DataFrame, merchant: DataFrame,
-                        dim_rows: dict | None = None) -> DataFrame:
+                        dim_rows: dict | None = None,
+                        limits: tuple[int, int] = LIMITS) -> DataFrame:
     """settlements LEFT JOIN transactions LEFT JOIN merchant (on the settlement's merchant).
 
     ``merchant_id`` is the merchant's, so it is null when the merchant is unknown.
@@ -86,7 +92,7 @@ def merchant_settlement(settlements: DataFrame, transactions: DataFrame, merchan
                         "merchant_category", F.col("city").alias("_m_city"),
                         F.col("state").alias("_m_state"), "onboard_date", "risk_tier",
                         "settlement_cycle"),
-        _rows(dim_rows, "merchant"))
+        _rows(dim_rows, "merchant"), *limits)
     s = settlements.select("settlement_id", F.col("merchant_id").alias("_s_merchant_id"),
                            "transaction_id", "settlement_date", "gross_amount", "fee_amount",
                            "net_amount", "settlement_status")
@@ -103,7 +109,8 @@ def merchant_settlement(settlements: DataFrame, transactions: DataFrame, merchan
 
 
 def refund_insights(refunds: DataFrame, transactions: DataFrame, merchant: DataFrame,
-                    customer: DataFrame, dim_rows: dict | None = None) -> DataFrame:
+                    customer: DataFrame, dim_rows: dict | None = None,
+                    limits: tuple[int, int] = LIMITS) -> DataFrame:
     """refunds LEFT JOIN transactions LEFT JOIN merchant LEFT JOIN customer.
 
     Merchant and customer are found through the *transaction*; ``customer_id``
@@ -117,11 +124,11 @@ def refund_insights(refunds: DataFrame, transactions: DataFrame, merchant: DataF
     m = maybe_broadcast(
         merchant.select(F.col("merchant_id").alias("_m_id"), "merchant_name",
                         "merchant_category"),
-        _rows(dim_rows, "merchant"))
+        _rows(dim_rows, "merchant"), *limits)
     c = maybe_broadcast(
         customer.select(F.col("customer_id").alias("_c_id"), "age_group",
                         F.col("city").alias("_c_city"), F.col("state").alias("_c_state")),
-        _rows(dim_rows, "customer"))
+        _rows(dim_rows, "customer"), *limits)
     r = refunds.select("refund_id", "transaction_id", "customer_id", "refund_timestamp",
                        "refund_amount", "refund_reason", "refund_status")
     j = left_lookup(r, t, "transaction_id", "_t_id", bypass_nulls=True)

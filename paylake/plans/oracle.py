@@ -286,6 +286,8 @@ def _fk_sql() -> str:
 
 
 def _domain_sql() -> str:
+    from pyspark.sql import types as T
+
     from .. import schemas as S
     from ..operators.quality import DOMAINS
 
@@ -294,6 +296,10 @@ def _domain_sql() -> str:
         view = DATASET_VIEWS[spec.name]
         rules = [(spec.pk, "pk_not_null", f"{spec.pk} is null")]
         rules += [(c, f"max_length_{n}", f"length({c}) > {n}") for c, n in spec.max_length.items()]
+        rules += [(f.name, f"decimal_{f.dataType.precision}_{f.dataType.scale}",
+                   f"abs({f.name}) >= {10 ** (f.dataType.precision - f.dataType.scale)} "
+                   f"or {f.name} <> round({f.name}, {f.dataType.scale})")
+                  for f in spec.schema.fields if isinstance(f.dataType, T.DecimalType)]
         for c, allowed in DOMAINS.get(spec.name, {}).items():
             lst = ", ".join(f"'{v}'" for v in allowed)
             rules.append((c, "domain", f"{c} is not null and {c} not in ({lst})"))

@@ -40,3 +40,27 @@ def test_dataset_sizes_measures_rows_and_payload(spark):
            for r in profile.dataset_sizes({"a": a, "b": b}).collect()}
     assert out == {"a": (2, 4 + 3 + 4 + 0), "b": (0, 0)}
     assert {r.dataset: r.record_count for r in profile.dataset_counts({"a": a}).collect()} == {"a": 2}
+
+
+def test_configured_broadcast_limits_reach_the_marts(spark):
+    from paylake import schemas as S
+    from paylake.operators import marts
+    frames = {n: spark.createDataFrame([], S.BY_NAME[n].schema) for n in ("transactions", "merchant", "channel")}
+    known = {"merchant": (3_000_000, 10), "channel": (3_000_000, 10)}
+    hinted = []
+    for limits in ((2_000_000, 1 << 28), (4_000_000, 1 << 28)):
+        df = marts.transaction_performance(*frames.values(), dim_rows=known, limits=limits)
+        hinted.append("ResolvedHint" in df._jdf.queryExecution().analyzed().toString())
+    assert hinted == [False, True]
+
+
+def test_decimal_digits_are_checked(spark):
+    from paylake.operators import quality
+    rows = spark.createDataFrame([("S1", "1.50", "0.10"), ("S2", "1.505", "99999999999"), ("S3", None, "3")],
+                                 "settlement_id string, gross_amount string, fee_amount string").selectExpr(
+        "settlement_id", "cast(null as int) merchant_id", "'T' transaction_id", "date'2026-01-01' settlement_date",
+        "cast(gross_amount as decimal(20,4)) gross_amount", "cast(fee_amount as decimal(20,4)) fee_amount",
+        "cast(0 as decimal(12,2)) net_amount", "'SETTLED' settlement_status")
+    got = {(r.column_name, r.rule): r.violations for r in quality.domain_violations({"settlements": rows}).collect()}
+    assert got["gross_amount", "decimal_12_2"] == 1 and got["fee_amount", "decimal_12_2"] == 1
+    assert got["net_amount", "decimal_12_2"] == 0
