@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 # Words (or their beginnings) of which every known sentence has one.
 TRIGGERS = ("licen", "redistribut", "permission", "warrant", "copyright", "liable", "unencumbered", "endorse",
-            "applicable", "attribution", "reserved", "cc0", "spdx")
+            "applicable", "attribution", "reserved", "cc0", "spdx", "later version")
 
 # Identifier and pattern of known sentences, on normalised text
 # (lower case, everything but letters, digits, dots and plus signs one space).
-# The first that is found in a sentence names it.
+# A sentence has all identifiers that are found in it, in this order.
 SENTENCES = (
     ("spdx-mit", r"spdx license identifier mit\b"),
     ("spdx-apache-2.0", r"spdx license identifier apache 2\.0"),
@@ -32,7 +32,7 @@ SENTENCES = (
     ("mit-notice", r"above copyright notice and this permission notice shall be included"),
     ("as-is", r"the software is provided as is without warranty of any kind"),
     ("no-liability", r"in no event shall the authors or copyright holders be liable"),
-    ("isc-grant", r"permission to use copy modify and or distribute this software for any purpose with or without fee"),
+    ("isc-grant", r"permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee"),
     ("bsd-grant", r"redistribution and use in source and binary forms with or without modification"),
     ("bsd-source", r"redistributions of source code must retain the above copyright notice"),
     ("bsd-binary", r"redistributions in binary form must reproduce the above copyright notice"),
@@ -46,6 +46,10 @@ SENTENCES = (
     ("agpl-grant", r"redistribute it and or modify it under the terms of the gnu affero general public license"),
     ("gpl-2.0-grant", r"redistribute it and or modify it under the terms of the gnu general public license .*version 2\b"),
     ("gpl-3.0-grant", r"redistribute it and or modify it under the terms of the gnu general public license .*version 3\b"),
+    ("gpl-grant", r"redistribute it and or modify it under the terms of the gnu general public license[^0-9]*$"),
+    ("gpl-version-2", r"^ ?(?:either )?version 2 (?:of the license|or at your option|or any later version)"),
+    ("gpl-version-2.1", r"^ ?(?:either )?version 2\.1 (?:of the license|or at your option|or any later version)"),
+    ("gpl-version-3", r"^ ?(?:either )?version 3 (?:of the license|or at your option|or any later version)"),
     ("gpl-warranty", r"distributed in the hope that it will be useful but without any warranty"),
     ("gpl-copy", r"you should have received a copy of the gnu (?:lesser |affero )?general public license"),
     ("gpl-3.0-ref", r"licensed under the gnu general public license version 3\b"),
@@ -57,7 +61,7 @@ SENTENCES = (
     ("cc-by-nc-4.0-ref", r"licensed under cc by nc 4\.0|attribution noncommercial 4\.0"),
     ("cc-by-sa-4.0-ref", r"licensed under cc by sa 4\.0|attribution sharealike 4\.0"),
     ("cc-by-4.0-ref", r"licensed under cc by 4\.0|creative commons attribution 4\.0"),
-    ("cc0-ref", r"cc0 1\.0 universal|dedicated to the public domain under cc0"),
+    ("cc0-ref", r"cc0 1\.0 universal|dedicated to the public domain under cc0|associated cc0 with"),
     ("unlicense", r"free and unencumbered software released into the public domain"),
     ("copyright", r"copyright (?:c )?[0-9][0-9][0-9][0-9]\b"),
     ("all-rights", r"all rights reserved"),
@@ -75,10 +79,22 @@ RULES = (
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("Apache-2.0", ("apache-2.0-ref", "apache-terms", "apache-copy", "apache-as-is")),
     ("Apache-2.0", ("apache-2.0-ref", "apache-copy", "apache-as-is")),
+    ("LGPL", ("lgpl-grant", "gpl-version-2", "gpl-warranty", "gpl-copy")),
+    ("LGPL", ("lgpl-grant", "gpl-version-2.1", "gpl-warranty", "gpl-copy")),
+    ("LGPL", ("lgpl-grant", "gpl-version-3", "gpl-warranty", "gpl-copy")),
+    ("AGPL-3.0", ("agpl-grant", "gpl-version-3", "gpl-warranty", "gpl-copy")),
+    ("GPL-2.0", ("gpl-grant", "gpl-version-2", "gpl-warranty", "gpl-copy")),
+    ("GPL-3.0", ("gpl-grant", "gpl-version-3", "gpl-warranty", "gpl-copy")),
     ("LGPL", ("lgpl-grant", "gpl-warranty", "gpl-copy")),
     ("AGPL-3.0", ("agpl-grant", "gpl-warranty", "gpl-copy")),
     ("GPL-2.0", ("gpl-2.0-grant", "gpl-warranty", "gpl-copy")),
     ("GPL-3.0", ("gpl-3.0-grant", "gpl-warranty", "gpl-copy")),
+    ("LGPL", ("lgpl-grant", "gpl-version-2")),
+    ("LGPL", ("lgpl-grant", "gpl-version-2.1")),
+    ("LGPL", ("lgpl-grant", "gpl-version-3")),
+    ("AGPL-3.0", ("agpl-grant", "gpl-version-3")),
+    ("GPL-2.0", ("gpl-grant", "gpl-version-2")),
+    ("GPL-3.0", ("gpl-grant", "gpl-version-3")),
     ("LGPL", ("lgpl-grant",)),
     ("AGPL-3.0", ("agpl-grant",)),
     ("GPL-2.0", ("gpl-2.0-grant",)),
@@ -104,11 +120,13 @@ RULES = (
     ("GPL-2.0", ("spdx-gpl-2.0",)),
     ("MPL-2.0", ("spdx-mpl-2.0",)),
     ("Copyrighted", ("copyright", "all-rights")),
+    ("Copyrighted", ("all-rights",)),
 )
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Where a sentence ends: the mark is kept, the white space becomes a separator.
-SENTENCE_END = "([.!?;])[ \t\r\n]+|\r?\n[ \t]*\r?\n"
+#: The stop of ``v. 2.0`` ends none.
+SENTENCE_END = "([!?;]|(?<!\\bv)\\.|\\.(?![ \t\r\n]+[0-9]))[ \t\r\n]+|\r?\n[ \t]*\r?\n"
 SEPARATOR = "\x01"
 
 
@@ -117,14 +135,10 @@ def sentence_ids(low: Column) -> Column:
     parts = F.split(F.regexp_replace(F.translate(low, SEPARATOR, " "), SENTENCE_END, f"$1{SEPARATOR}"), SEPARATOR)
     known = F.filter(parts, lambda s: _has_trigger(s))
 
-    def name(s: Column) -> Column:
-        plain = F.regexp_replace(s, "[^a-z0-9.+]+", " ")
-        out = F.lit(None).cast("string")
-        for ident, pattern in reversed(SENTENCES):
-            out = F.when(plain.rlike(pattern), F.lit(ident)).otherwise(out)
-        return out
-
-    return F.filter(F.transform(known, name), lambda x: x.isNotNull())
+    plain = F.transform(known, lambda s: F.regexp_replace(s, "[^a-z0-9.+]+", " "))
+    names = F.flatten(F.transform(plain, lambda p: F.array(
+        *[F.when(p.rlike(pattern), F.lit(ident)) for ident, pattern in SENTENCES])))
+    return F.filter(names, lambda x: x.isNotNull())
 
 
 def _has_trigger(s: Column) -> Column:
@@ -138,8 +152,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Licences stated in every whole text.
 
     Columns: doc_id, licenses (names in the order of the rules, each once, joined
-    by commas; empty if none), n_sentences (known sentences), sentences (their
-    identifiers, joined by blanks), unmatched (identifiers that no rule took).
+    by commas; empty if none), n_sentences (identifiers of known sentences),
+    sentences (these identifiers, joined by blanks), unmatched (identifiers that no rule took).
     A null or empty text has none.  Each row gives a row; no shuffle.  The long
     expressions are evaluated only for texts that hold a trigger word.
     """

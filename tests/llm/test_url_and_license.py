@@ -93,3 +93,79 @@ def test_trigger_words_cover_every_sentence():
     for _, pattern in license_scan.SENTENCES:
         for way in pattern.split("|") if "(?:" not in pattern else [pattern]:
             assert any(t in way for t in license_scan.TRIGGERS), way
+
+
+GPL = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU {name}General Public License as published by
+the Free Software Foundation{mark} either version {n} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {name}General Public License for more details.
+
+You should have received a copy of the GNU {name}General Public License along
+with this program; if not, see <https://www.gnu.org/licenses/>.
+"""
+BSD = """Copyright (c) 2020, A. B.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+{endorse}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+ENDORSE = """3. Neither the name of the copyright holder nor the names of its contributors
+   may be used to endorse or promote products derived from this software.
+
+"""
+HEADERS = [
+    (MIT, "MIT"), (BSD.format(endorse=ENDORSE), "BSD-3-Clause"), (BSD.format(endorse=""), "BSD-2-Clause"),
+    ("""Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""", "ISC"),
+    ("""Permission to use, copy, modify, and distribute this software for any
+purpose with or without fee is hereby granted.""", "ISC"),
+    ("""Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS.""", "Apache-2.0"),
+    *[(GPL.format(name=name, n=n, mark=mark), licence) for name, n, licence in (
+        ("", "2", "GPL-2.0"), ("", "3", "GPL-3.0"), ("Lesser ", "2.1", "LGPL"), ("Lesser ", "3", "LGPL"),
+        ("Affero ", "3", "AGPL-3.0")) for mark in ";,"],
+    (GPL.format(name="", n="2", mark=";").replace("2 of the License, or", "2, or"), "GPL-2.0"),
+    (GPL.format(name="", n="2", mark=";").replace("\n", "\n * "), "GPL-2.0"),
+    ("""This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""", "MPL-2.0"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"),
+    ("Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+    ("Licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0"),
+    ("A Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "CC-BY-NC-SA-4.0"),
+    ("""To the extent possible under law, the person who associated CC0 with this work
+has waived all copyright and related or neighboring rights to this work.""", "CC0-1.0"),
+    ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+    ("Copyright 2020 X, all rights reserved", "Copyrighted"), ("All rights reserved.", "Copyrighted"),
+    ("Licensed under the MIT license and licensed under the Apache License, Version 2.0.", "Apache-2.0,MIT"),
+    *[(f"// SPDX-License-Identifier: {n}", w) for n, w in (
+        ("MIT", "MIT"), ("Apache-2.0", "Apache-2.0"), ("BSD-3-Clause", "BSD-3-Clause"), ("BSD-2-Clause", "BSD-2-Clause"),
+        ("GPL-3.0-only", "GPL-3.0"), ("GPL-2.0-or-later", "GPL-2.0"), ("MPL-2.0", "MPL-2.0"))]]
+
+
+def test_standard_headers(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(HEADERS)], "doc_id long, text string")
+    out = {r.doc_id: r for r in license_scan.license_scan(df).collect()}
+    assert [out[i].licenses for i in range(len(HEADERS))] == [w for _, w in HEADERS]
+    assert not any(out[i].unmatched for i, (t, _) in enumerate(HEADERS) if "General Public" in t)
