@@ -9,8 +9,12 @@ where t stands close to c, the disclosure of c by t is
     PMI(c; t) / IC(c),   PMI = log2 p(c, t) / (p(c) p(t)),   IC = -log2 p(c),
 
 1 if t occurs only with c.  A term is disclosing if this reaches ``threshold``
-for some entity on the evidence of at least ``min_contexts`` different contexts
-(copies of a document repeat a context and add nothing).  Disclosing terms are
+for some entity and the pair is not due to chance: with b different contexts
+(copies of a document repeat a context and add nothing) of an entity in n
+documents, Chernoff's bound for at least b of them to hold a term of share p is
+2^-(n KL(b/n || p)), and has to lie below ``alpha`` over the number of pairs of an
+entity and a term that could have as many contexts (``_needed``).  Two contexts of
+a rare name can so be enough; a single one hardly ever is.  Disclosing terms are
 marked wherever they occur, with or without the entity; ``sanitise`` replaces
 patterns by their kind, generalises disclosing terms that have a more general
 form (numbers, names) and removes the others.
@@ -19,6 +23,7 @@ form (numbers, names) and removes the others.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -141,7 +146,7 @@ def gather(docs: DataFrame, words: int) -> DataFrame:
         for b in common.row_slices(batches):
             for text in b.column("text").to_pylist():
                 counts["D", "", "", 0] += 1
-                terms.update(set(text.split()))
+                terms.update({term_of(w) for w in set(text.split())})
                 spans = base_spans(text)
                 if spans:
                     for e in {entity_of(text, s) for s in spans}:
@@ -155,11 +160,8 @@ def gather(docs: DataFrame, words: int) -> DataFrame:
         yield from out()
 
     def _terms(terms):
-        folded: Counter = Counter()
-        for w, n in terms.items():
-            folded[term_of(w)] += n
+        rows = [(t, n) for t, n in terms.items() if t]
         terms.clear()
-        rows = [(t, n) for t, n in folded.items() if t]
         for at in range(0, len(rows), 50_000):
             part = rows[at:at + 50_000]
             yield common.table_batch(GATHERED, role=["T"] * len(part), entity=[""] * len(part),
@@ -169,30 +171,52 @@ def gather(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "role string, entity string, term string, context long, n long")
 
 
-def disclosing_terms(docs: DataFrame, threshold: float = 0.9, min_contexts: int = 5,
+def _needed(entity: DataFrame, terms: DataFrame, alpha: float) -> list[float]:
+    """Bits that b contexts have to give, for each level L with 2^L <= b < 2^(L+1):
+    log2 of the entities and of the terms that are in 2^L documents at least, and
+    of 2^(L+1) / alpha, so that all levels together have the error ``alpha``."""
+    def reach(df, c):
+        held = {r.level: r["count"] for r in df.groupBy(_level(c).alias("level")).count().collect()}
+        return [sum(n for at, n in held.items() if at >= level) for level in range(64)]
+
+    return [math.log2(max(1, e) * max(1, t)) + level + 1 - math.log2(alpha)
+            for level, (e, t) in enumerate(zip(reach(entity, "with_entity"), reach(terms, "with_term")))]
+
+
+def _level(c: str) -> Column:
+    return F.length(F.bin(c)) - 1
+
+
+def disclosing_terms(docs: DataFrame, threshold: float = 0.9, alpha: float = 0.05,
                      words: int = 5, text_col: str = "text") -> DataFrame:
     """term, disclosure: the terms that reveal some protected entity.
 
-    A word counts once for each form that a document has it in; counts are over
-    all documents and whole texts.
+    A term counts once a document, whatever forms it stands in; counts are over
+    all documents and whole texts.  ``alpha``: the chance that any pair of the
+    corpus passes as evidence without being any.
     """
     common.ship(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     seen = common.cut(gather(rows, words), "terms")
     total = seen.where("role = 'D'").agg(F.sum("n").alias("all_docs"))
     entity = seen.where("role = 'E'").groupBy("entity").agg(F.sum("n").alias("with_entity"))
-    # evidence first: few pairs have it, so the joins below are small
-    pairs = (seen.where("role = 'C'").groupBy("entity", "term", "context").agg(F.sum("n").alias("n"))
-             .groupBy("entity", "term").agg(F.sum("n").alias("both"), F.count("*").alias("contexts"))
-             .where(F.col("contexts") >= min_contexts))
-    terms = seen.where("role = 'T'").groupBy("term").agg(F.sum("n").alias("with_term"))
     n_docs = int(total.head()[0] or 0)
+    terms = common.cut(seen.where("role = 'T'").groupBy("term").agg(F.sum("n").alias("with_term")), "term_counts")
+    needed = F.element_at(F.array(*[F.lit(x) for x in _needed(entity, terms, alpha)]), _level("contexts") + 1)
     share = lambda c: F.least(F.col(c) / F.lit(float(max(1, n_docs))), F.lit(1.0))
+    # evidence first: the most that b contexts can give, as the entity and the term are in
+    # b documents at least; few pairs have enough, so the joins below are small
+    pairs = (seen.where("role = 'C'").groupBy("entity", "term", "context").agg(F.sum("n").alias("n"))
+             .groupBy("entity", "term").agg(F.sum("n").alias("both"), F.count("*").alias("contexts"))
+             .where(-F.col("contexts") * F.log2(share("contexts")) >= needed))
     information = -F.log2(share("with_entity"))
     pmi = F.log2(share("both") / (share("with_entity") * share("with_term")))
+    hit, p = F.least(F.col("contexts") / F.col("with_entity"), F.lit(1.0)), share("with_term")
+    miss = F.when(hit < 1, (1 - hit) * F.log2((1 - hit) / (1 - p))).otherwise(0.0)
+    bits = F.when(hit > p, F.col("with_entity") * (hit * F.log2(hit / p) + miss)).otherwise(0.0)
     return (pairs.join(entity, "entity").join(terms, "term")
             .withColumn("disclosure", F.when(information > 0, pmi / information))
-            .where(F.col("disclosure") >= threshold)
+            .where((F.col("disclosure") >= threshold) & (bits >= needed))
             .groupBy("term").agg(F.max("disclosure").alias("disclosure")))
 
 
@@ -211,7 +235,7 @@ def _filter(terms: DataFrame) -> bytes:
 
 
 def find(docs: DataFrame, keep: list[str] | None = None, threshold: float = 0.9,
-         min_contexts: int = 5, words: int = 5, text_col: str = "text") -> DataFrame:
+         alpha: float = 0.05, words: int = 5, text_col: str = "text") -> DataFrame:
     """Spans of personal data in every whole text.
 
     Returns a row for each input row: ``row`` (struct of the columns ``keep``),
@@ -222,7 +246,7 @@ def find(docs: DataFrame, keep: list[str] | None = None, threshold: float = 0.9,
     """
     spark = docs.sparkSession
     common.ship(spark)
-    flagged = common.cut(disclosing_terms(docs, threshold, min_contexts, words, text_col), "disclosing")
+    flagged = common.cut(disclosing_terms(docs, threshold, alpha, words, text_col), "disclosing")
     bits = spark.sparkContext.broadcast(_filter(flagged))
     rows = docs.select(F.struct(*[F.col(c) for c in keep or docs.columns]).alias("row"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import re
 
 import pytest
@@ -92,3 +93,23 @@ def test_edges(edge_docs, no_docs, clash):
     out = pii.sanitise(wide)
     assert out.columns == wide.columns and out.count() == wide.count()
     assert out.where("text is null").count() == wide.where("text is null").count()
+
+
+def test_two_contexts_disclose_a_rare_name(spark):
+    rows = [(i, f"Report {i} number {i * 7} on topic {i % 9} today item{i}") for i in range(3000)]
+    rows += [(5000, "Call Okonkwo at ann@corp.example.org about the first topic today"),
+             (5001, "Another report: OKONKWO, okonkwo (okonkwo) writes from ann@corp.example.org on item77"),
+             (5002, "A note on Okonkwo matters."), (5003, "One mention of Quagga by joe@site.example.com here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.term: r.disclosure for r in pii.disclosing_terms(docs).collect()}
+    assert set(found) == {"okonkwo"}
+    # each form of the name is one term of one document: 3 documents hold it, 2 the address
+    assert found["okonkwo"] == pytest.approx(math.log2(3004 / 3) / math.log2(3004 / 2))
+    spans = {r.doc_id: r.spans for r in pii.pii_report(docs).collect()}
+    assert spans[5002] == "term:10:17" and "term" not in spans[5003]
+
+
+def test_all_pairs_of_a_small_corpus_are_weighed(spark):
+    docs = spark.createDataFrame([(1, "Joe joe@site.example.com"), (2, "Joe joe@site.example.com")], "doc_id long, text string")
+    assert pii.disclosing_terms(docs).count() == 0
+    assert pii.pii_report(docs).count() == 2
