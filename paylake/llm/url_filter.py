@@ -4,9 +4,10 @@ Block and allow lists change: an entry adds or removes a pattern on a date.
 Entries become validity intervals, and every capture is judged by the entries
 that were active when it was fetched (an as-of join), never by today's list.
 
-A pattern is a host (which covers its subdomains) or a host with a path prefix.
-A capture is turned into the few patterns that could cover it, so the join is
-one of equal keys with a condition on dates.  The longest active pattern
+A pattern is a host (which covers its subdomains) or a host with a path prefix,
+written as in a URL, with or without the scheme.  A capture is turned into the
+patterns that could cover it, as far as the longest host and path of the list go,
+so the join is one of equal keys with a condition on dates.  The longest active pattern
 decides; at equal length allowing wins.
 """
 
@@ -15,8 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Labels of a host and steps of a path that patterns may have; a capture has
-#: no more keys than their sum, and patterns beyond are refused by ``intervals``.
+#: Labels and steps at which the comparison SQL of the query ends; nothing here does.
 MAX_LABELS = 10
 MAX_STEPS = 6
 HOST = r"^(?:[a-z][a-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
@@ -36,16 +36,32 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.translate(F.coalesce(url.cast("string"), F.lit("")), _UPPER, _LOWER), PATH, 1)
 
 
-def keys_of(url: Column) -> Column:
-    """The patterns that cover a URL: its host and the hosts above it, and the
-    host with each prefix of its path."""
+def steps_of(url: Column) -> Column:
+    """Steps of the path, without empty ones."""
+    return F.filter(F.split(path_of(url), "/"), lambda s: s != "")
+
+
+def pattern_of(pattern: Column) -> Column:
+    """A pattern in the form in which captures give it; empty if it has no host,
+    or a query or fragment, without which captures are compared."""
+    p = F.translate(F.trim(F.coalesce(pattern.cast("string"), F.lit(""))), _UPPER, _LOWER)
+    url = F.when(p.rlike(r"^(?:[a-z][a-z0-9+.\-]*:)?//"), p).otherwise(F.concat(F.lit("//"), p))
+    host = host_of(url)
+    return F.when((host == "") | p.rlike("[?#]"), F.lit("")).otherwise(
+        F.array_join(F.concat(F.array(host), steps_of(url)), "/"))
+
+
+def keys_of(url: Column, max_labels: int, max_steps: int) -> Column:
+    """The patterns of at most ``max_labels`` labels or ``max_steps`` steps that
+    cover a URL: its host and the hosts above it, and the host with each prefix of
+    its path."""
     host = host_of(url)
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    above = F.transform(F.sequence(F.greatest(F.lit(1), n - MAX_LABELS + 1), n),
+    above = F.transform(F.sequence(F.greatest(F.lit(1), n - max(1, max_labels) + 1), n),
                         lambda k: F.array_join(F.slice(labels, k, n - k + 1), "."))
-    steps = F.filter(F.split(path_of(url), "/"), lambda s: s != "")
-    m = F.least(F.size(steps), F.lit(MAX_STEPS))
+    steps = steps_of(url)
+    m = F.least(F.size(steps), F.lit(max_steps))
     below = F.when(m > 0, F.transform(F.sequence(F.lit(1), m), lambda k: F.concat_ws(
         "/", host, F.array_join(F.slice(steps, 1, k), "/")))).otherwise(F.array().cast("array<string>"))
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(above, below)))
@@ -56,14 +72,15 @@ def intervals(entries: DataFrame) -> DataFrame:
 
     ``entries``: pattern, kind ('block' or 'allow'), action ('add' or 'remove'),
     entry_date.  Returns pattern, kind, valid_from, valid_to (exclusive; null:
-    still valid).  Rows with a null or another value in any column are left out;
+    still valid), the pattern in the form of ``pattern_of``.  Rows with a null or
+    another value in any column are left out, also patterns that are none;
     of entries of one pattern, kind and date, a removal wins.  Entries are first
     reduced to one a date, so the window below has at most as many rows a
     pattern as there are dates, however often a pattern is listed.
     """
     ok = (F.col("kind").isin("block", "allow") & F.col("action").isin("add", "remove")
-          & F.col("pattern").isNotNull() & F.col("entry_date").isNotNull() & (F.col("pattern") != ""))
-    daily = (entries.select("pattern", "kind", "action", F.col("entry_date").cast("date").alias("entry_date"))
+          & F.col("entry_date").isNotNull() & (F.col("pattern") != ""))
+    daily = (entries.select(pattern_of(F.col("pattern")).alias("pattern"), "kind", "action", F.col("entry_date").cast("date").alias("entry_date"))
              .where(ok).groupBy("pattern", "kind", "entry_date")
              .agg(F.min(F.col("action") == "add").alias("added")))
     w = Window.partitionBy("pattern", "kind").orderBy("entry_date")
@@ -71,6 +88,13 @@ def intervals(entries: DataFrame) -> DataFrame:
             .select("pattern", "kind", F.col("entry_date").alias("valid_from"), "valid_to"))
 
 
+def longest(entries: DataFrame) -> tuple[int, int]:
+    """Largest numbers of labels and of path steps of the patterns."""
+    parts = F.split(pattern_of(F.col("pattern")), "/")
+    r = entries.agg(F.max(F.size(F.split(parts[0], r"\."))).alias("labels"), F.max(F.size(parts) - 1).alias("steps")).head()
+    return r["labels"] or 0, r["steps"] or 0
+
+
 def judge(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url",
           time_col: str = "fetch_date") -> DataFrame:
     """Judge every capture by the entries active at its fetch time.
@@ -84,7 +108,7 @@ def judge(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_
     caps = captures.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"),
                            F.col(time_col).cast("date").alias("_day"))
     once = caps.where("_url is not null and _day is not null").select("_url", "_day").distinct()
-    keyed = once.withColumn("_key", F.explode(keys_of(F.col("_url"))))
+    keyed = once.withColumn("_key", F.explode(keys_of(F.col("_url"), *longest(entries))))
     held = intervals(entries)
     # filled bottom-up: (length, allow first, pattern) of the longest active entry
     verdict = (keyed.join(held, (F.col("_key") == F.col("pattern")) & (F.col("valid_from") <= F.col("_day"))

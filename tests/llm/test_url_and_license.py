@@ -169,3 +169,22 @@ def test_standard_headers(spark):
     out = {r.doc_id: r for r in license_scan.license_scan(df).collect()}
     assert [out[i].licenses for i in range(len(HEADERS))] == [w for _, w in HEADERS]
     assert not any(out[i].unmatched for i, (t, _) in enumerate(HEADERS) if "General Public" in t)
+
+
+def test_long_and_loosely_written_patterns(spark):
+    deep = ".".join("abcdefghijkl") + ".example.com"
+    path = "/".join(f"s{i}" for i in range(9))
+    day = D(2024, 1, 1)
+    entries = spark.createDataFrame(
+        [(p, "block", "add", day) for p in (deep, f"example.org/{path}", "www.Evil.com", "evil.net/ads/", "HTTPS://Full.example.net:443//x/",
+                                            "no.example.net/a?q", "/", "//")],
+        "pattern string, kind string, action string, entry_date date")
+    cases = [(f"http://{deep}/", deep), (f"http://{deep[2:]}/", None), (f"http://z.{deep}/y", deep),
+             (f"http://example.org/{path}/z", f"example.org/{path}"), (f"http://example.org/{path[:-1]}", None),
+             ("http://evil.com/", "evil.com"), ("http://WWW.evil.com/a", "evil.com"), ("http://evil.net/Ads/1", "evil.net/ads"),
+             ("http://evil.net/adsx", None), ("http://full.example.net/x/y", "full.example.net/x"),
+             ("http://no.example.net/a", None)]
+    caps = spark.createDataFrame([(i, u, day) for i, (u, _) in enumerate(cases)], "page_id long, url string, fetch_date date")
+    out = {r.page_id: r for r in url_filter.judge(caps, entries).collect()}
+    assert [out[i].rule for i in range(len(cases))] == [w for _, w in cases]
+    assert [out[i].blocked for i in range(len(cases))] == [w is not None for _, w in cases]
