@@ -118,7 +118,7 @@ PAIRS = 1 << 16
 
 
 def _rerank(d: int, k: int):
-    """The k best of a block of vectors for each query of a block, as far as they
+    """The k best ids of a block of vectors for each query of a block, as far as they
     reach the query's ``floor``."""
 
     def run(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
@@ -128,14 +128,20 @@ def _rerank(d: int, k: int):
         x, ids = matrix(vectors["v"], d), vectors["vec_id"].to_numpy()
         q, names = matrix(queries["v"], d), queries["query_id"].to_numpy()
         floor = queries["floor"].to_numpy()
-        floor = floor - 1e-9 * (1 + np.abs(floor))  # rounding is far below this
+        order = np.argsort(ids, kind="stable")  # rows of one id side by side
+        x, ids = x[order], ids[order]
+        first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        size = np.sqrt((q * q).sum(axis=1)) * np.sqrt((x * x).sum(axis=1).max())
         out = []
         for at in range(0, len(q), 256):
             score = q[at:at + 256] @ x.T
             own = names[at:at + 256, None] == ids[None, :]
             score[own] = -np.inf
-            edge = np.partition(score, -k, axis=1)[:, -k] if score.shape[1] > k else np.full(len(score), -np.inf)
+            # an id counts once, with its best row
+            best = np.maximum.reduceat(score, first, axis=1) if len(first) < len(ids) else score
+            edge = np.partition(best, -k, axis=1)[:, -k] if best.shape[1] > k else np.full(len(best), -np.inf)
             edge = np.fmax(edge, floor[at:at + 256])  # a null floor counts for nothing
+            edge = edge - 1e-9 * (1 + np.abs(edge)) - 1e-12 * size[at:at + 256]  # rounding is far below this
             i, j = np.nonzero((score >= edge[:, None]) & ~own)
             # the product of two rows, summed in one order wherever the pair meets
             exact = np.concatenate([np.einsum("ij,ij->i", q[at + i[s:s + PAIRS]], x[j[s:s + PAIRS]])
@@ -157,7 +163,7 @@ def leaf_candidates(index: DataFrame, probes: DataFrame, d: int, k: int) -> Data
         leaf(probes).withColumn("query_blocks", F.ceil(F.col("count") / BLOCK).cast("int")).drop("count"), "leaf")
     cells = F.broadcast(common.cut(cells, "cells"))
     spread = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    deal = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
+    deal = lambda n: F.pmod(F.xxhash64("vec_id", "v"), F.col(n)).cast("int")
     vectors = (index.select("vec_id", "v", F.explode("leaves").alias("leaf")).join(cells, "leaf")
                .select("leaf", deal("vector_blocks").alias("vb"), F.explode(spread("query_blocks")).alias("qb"),
                        "vec_id", "v"))
@@ -177,17 +183,19 @@ def forest_search(df: DataFrame, is_query, k: int = 20, recall: float = 0.96, tr
     ``is_query``: column condition on vec_id.  Columns: query_id, rank, vec_id,
     score.  The trees are fitted on at most ``sample`` rows, the leaves aimed at
     ``recall``; every valid row is indexed.  Rows that take no part are those of
-    ``vectors.valid_vectors``; a row never finds rows with its own id; rows with
-    one id count once in a result.  Without valid rows the result is empty.
+    ``vectors.valid_vectors``; a row never finds rows with its own id; equal rows
+    are one row, and rows with one id count once in a result.  Without valid rows the result is empty.
     """
     spark = df.sparkSession
     common.ship(spark)
     rows, d, n = valid_vectors(df, id_col, vector_col, zero=False)
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    rows = common.cut(rows.distinct(), "rows")
+    n = rows.count()
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     largest = float(rows.agg(F.max(norm)).head()[0])
-    picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").collect()
+    picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(sample).select("v").collect()
     points = np.array([r.v for r in picked])
     depth = max(0, min(round(math.log2(max(1.0, n / leaf_rows))), int(math.log2(max(1, len(points) // 16)))))
     trees = trees if depth else 1

@@ -117,3 +117,38 @@ def test_floor_leaves_out_only_what_lies_below_it():
     want = whole[whole["score"].to_numpy() >= edge]
     assert set(map(tuple, some.to_numpy())) == set(map(tuple, want.to_numpy()))
     assert len(some) < len(whole)
+
+
+def test_repeated_ids_and_copies_at_the_edge():
+    rng = np.random.default_rng(4)
+    x, q = rng.standard_normal((3001, 128)), rng.standard_normal((256, 128))
+    x[1500:] = x[rng.integers(0, 1500, 1501)]  # copies, so that many edges fall on them
+    ids = np.arange(3001)
+    ids[:100] = 0  # one id a hundred times
+    x[:100] = q[:1] * 5
+    found = rp_forest._rerank(128, 20)(pd.DataFrame({"vec_id": ids, "v": list(x)}), pd.DataFrame(
+        {"query_id": np.arange(10_000, 10_256), "v": list(q), "floor": np.nan}))
+    got = {n: list(g.sort_values(["score", "vec_id"], ascending=[False, True])["vec_id"])
+           for n, g in found.groupby("query_id")}
+    for k in range(256):
+        exact = np.einsum("ij,ij->i", np.repeat(q[k:k + 1], 3001, axis=0), x)
+        best = {}
+        for i, v in zip(ids, exact):
+            best[i] = max(best.get(i, -math.inf), v)
+        assert got[10_000 + k] == [i for i, _ in sorted(best.items(), key=lambda p: (-p[1], p[0]))[:20]]
+
+
+def test_a_repeated_row_leaves_room_for_others(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((60, 8))
+    data = [(i, v.tolist()) for i, v in enumerate(x)] + [(1, (x[0] * 9).tolist())] * 100
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.rank, r.vec_id) for r in rp_forest.forest_search(df, F.col("vec_id") % 20 == 0).collect()}
+    want = set()
+    for q in range(0, 60, 20):
+        best = {}
+        for i, v in data:
+            if i != q:
+                best[i] = max(best.get(i, -math.inf), float(x[q] @ np.array(v)))
+        want |= {(q, n, i) for n, (i, _) in enumerate(sorted(best.items(), key=lambda p: (-p[1], p[0]))[:20], 1)}
+    assert got == want
