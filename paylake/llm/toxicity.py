@@ -1,140 +1,218 @@
 """Toxic passages by maximum-scoring segments.
 
-Fit.  Every word is counted over all documents and, for a bounded sample of
-labelled ones (``sample``), by label.  A word's score is the lower confidence
-bound of its log-odds between toxic and clean documents under a Dirichlet prior
-shaped by the corpus counts; words without evidence score ``drift`` < 0.
-
-Scan.  In each text, one linear pass finds all maximal-scoring segments (those
-that no extension and no part of which scores better).  Only words with a
-positive score matter; what lies between them is a multiple of the drift.
+Fit.  A bounded sample of labelled documents (``sample``) gives, for each word
+and each class, the number of documents that hold it; equal texts count once.
+Word counts over all documents shape the prior: a word's rate in a class is the
+mean of a Dirichlet posterior whose prior mass ``prior`` is spread as the corpus
+spreads words, times the rate of the word's stem (its longest known prefix of
+``STEMS`` letters, whose prior is the next shorter one).  The log-odds are the
+logarithm of the ratio of both rates, positive or negative; a word or stem that
+fewer than two documents of the sample hold has the score of the stem above it.
+
+Scan.  A word scores its log-odds where a text has it first (documents are what
+is counted, so a repeat says nothing new: it keeps only a negative score), less
+``drift``.  One linear pass finds all maximal-scoring segments (those that no
+extension and no part of which scores better; of parts that score as much, the
+shortest).
 
 Calibration.  The best segment of n clean words follows an extreme-value law,
 P(S < s) = exp(-K n exp(-lambda s)).  lambda solves E[exp(lambda score)] = 1 under
 the clean word frequencies; K is its maximum-likelihood value on the sample's
-clean documents.  A segment's evidence is lambda s - ln(K n); the evidence of a
-text is that of its best segment plus what further significant segments add,
-and a logistic curve fitted on the sample turns it into a probability.
+clean documents.  A segment's evidence is lambda s - ln(K n), a text's evidence
+is the sum of what its significant segments (evidence above 0) have, and a logistic
+curve turns it into a probability.  K and the curve are fitted on evidence out of
+fold: each document of the sample is scanned with a lexicon that was fitted
+without its fold.
 """
 
 from __future__ import annotations
 
+import string
 import zlib
 from collections import Counter
+from itertools import accumulate
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 
-EDGE = ".,;:!?\"'()[]{}<>*_-"
+#: Prefix lengths, without a gap, that are stems of longer words.
+STEMS = (4, 5, 6, 7, 8)
+FOLDS = 4
 #: Words of which a worker remembers the score.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 
 def word_of(raw: str) -> str:
-    return raw.strip(EDGE).lower()
+    """Lower case, without what is no letter or digit at both ends."""
+    w = raw.strip(string.punctuation)
+    while w and not w[0].isalnum():
+        w = w[1:]
+    while w and not w[-1].isalnum():
+        w = w[:-1]
+    return w.lower()
 
 
 def held_out(doc_id: int) -> bool:
     return zlib.crc32(str(doc_id).encode()) % 5 == 0
 
 
-def training_labels(labels: DataFrame, sample: int) -> dict[int, int]:
-    """At most ``sample`` labels that may be learned from: the rows whose hash
-    is smallest.  A document with several labels is toxic if one says so; null
-    labels and ids are left out."""
-    rows = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+def training_labels(labels: DataFrame, sample: int) -> DataFrame:
+    """doc_id, toxic: at most ``sample`` labels that may be learned from, the rows
+    whose hash is smallest.  A document with several labels is toxic if one says
+    so; null labels and ids are left out."""
+    return (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
             .where("doc_id is not null and toxic in (0, 1)")
             .where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
             .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    return {r.doc_id: r.toxic for r in rows.collect()}
 
 
-COUNTS = pa.schema([("word", pa.string()), ("n_all", pa.int64()), ("n_toxic", pa.int64()), ("n_clean", pa.int64())])
+def training_texts(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """text, toxic, fold of the sample: equal texts are one (toxic if one of them
+    is) and share a fold."""
+    rows = docs.join(F.broadcast(known), "doc_id")  # bounded by the sample
+    fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int")
+    return rows.groupBy("text").agg(F.max("toxic").alias("toxic")).withColumn("fold", fold)
+
+
+class _Folded(dict):
+    """Raw word -> word."""
+
+    def __missing__(self, raw: str) -> str:
+        w = word_of(raw)
+        if len(self) < REMEMBERED:
+            self[raw] = w
+        return w
+
 
+COUNTS = pa.schema([("word", pa.string()), ("n", pa.int64())])
+CLASS_COUNTS = pa.schema([("word", pa.string()), ("fold", pa.int32()), ("toxic", pa.int32()), ("n", pa.int64())])
 
-def word_counts(docs: DataFrame, labels) -> DataFrame:
-    """Counts of each word over all documents and over the labelled sample,
-    added up within each task.  Equal texts of the sample count once a task."""
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word, n: documents that hold it, added up within each task."""
 
     def run(batches):
-        counts: list[Counter] = [Counter(), Counter(), Counter()]
-        seen: set[int] = set()
+        seen, fold = Counter(), _Folded()
 
         def out():
-            folded: dict[str, list[int]] = {}
-            for k, c in enumerate(counts):
-                for raw, n in c.items():
-                    folded.setdefault(word_of(raw), [0, 0, 0])[k] += n
-                c.clear()
-            words = [w for w in folded if w]
+            words = [w for w in seen if w]
             for at in range(0, len(words), 50_000):
                 part = words[at:at + 50_000]
-                yield common.table_batch(COUNTS, word=part, n_all=[folded[w][0] for w in part],
-                                         n_toxic=[folded[w][1] for w in part],
-                                         n_clean=[folded[w][2] for w in part])
+                yield common.table_batch(COUNTS, word=part, n=[seen[w] for w in part])
+            seen.clear()
 
         for b in common.row_slices(batches):
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                words = text.split()
-                counts[0].update(words)
-                y = labels.value.get(doc)
-                if y is not None:
-                    mark = zlib.crc32(text.encode()) << 32 | len(text)
-                    if mark not in seen:
-                        seen.add(mark)
-                        counts[1 if y else 2].update(words)
-            if len(counts[0]) > 300_000:
+            for text in b.column("text").to_pylist():
+                seen.update(set(map(fold.__getitem__, text.split())))
+            if len(seen) > 300_000:
                 yield from out()
         yield from out()
 
-    return docs.mapInArrow(run, "word string, n_all long, n_toxic long, n_clean long")
+    return docs.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def class_counts(texts: DataFrame) -> DataFrame:
+    """word, fold, toxic, n of the sample's texts."""
+
+    def run(batches):
+        seen, fold = Counter(), _Folded()
+        for b in common.row_slices(batches):
+            for text, y, f in zip(*(b.column(c).to_pylist() for c in ("text", "toxic", "fold"))):
+                seen.update((w, f, y) for w in set(map(fold.__getitem__, text.split())) if w)
+        keys = list(seen)
+        for at in range(0, len(keys), 50_000):
+            part = keys[at:at + 50_000]
+            yield common.table_batch(CLASS_COUNTS, word=[k[0] for k in part], fold=[k[1] for k in part],
+                                     toxic=[k[2] for k in part], n=[seen[k] for k in part])
+
+    return (texts.mapInArrow(run, "word string, fold int, toxic int, n long")
+            .groupBy("word", "fold", "toxic").agg(F.sum("n").alias("n")))
 
 
 @dataclass
 class Lexicon:
-    """Words with a positive score, and the extreme-value scale."""
+    """Log-odds of words and stems, and the extreme-value scale."""
 
-    scores: dict[str, float]
+    words: dict[str, float]
+    stems: dict[str, float]
     drift: float
     scale: float
 
-
-def fit_lexicon(docs: DataFrame, labels, prior: float = 1000.0, z: float = 1.96, least: int = 5,
-                drift: float = -0.2) -> Lexicon:
-    """``docs``: doc_id, text.  The lexicon holds words with at least ``least``
-    occurrences in the sample's toxic documents and a confidence bound above 0:
-    what is collected is bounded by the sample, not by the corpus."""
-    seen = common.cut(word_counts(docs, labels), "words")
-    by_word = seen.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n_all", "n_toxic", "n_clean")])
-    total = seen.agg(*[F.sum(c) for c in ("n_all", "n_toxic", "n_clean")]).head()
-    n_all, n_toxic, n_clean = (float(v or 0) for v in total)
-    if not n_toxic or not n_clean:
-        return Lexicon({}, drift, 1.0)
-    alpha = F.lit(prior) * F.col("n_all") / F.lit(n_all)
-    odds = lambda c, n: F.log((F.col(c) + alpha) / (F.lit(n + prior) - F.col(c) - alpha))
-    sigma = F.sqrt(1 / (F.col("n_toxic") + alpha) + 1 / (F.col("n_clean") + alpha))
-    score = odds("n_toxic", n_toxic) - odds("n_clean", n_clean) - F.lit(z) * sigma
-    kept = (by_word.where(F.col("n_toxic") >= least).withColumn("score", score)
-            .where(F.col("score") > 0.5).select("word", "score", "n_clean").collect())
-    scores = {r.word: r.score for r in kept}
-    return Lexicon(scores, drift, extreme_value_scale([(r.score, r.n_clean) for r in kept], n_clean, drift))
-
-
-def extreme_value_scale(positive: list[tuple[float, float]], n: float, drift: float) -> float:
-    """The lambda > 0 with E[exp(lambda score)] = 1 over clean words (half a
-    count is added to each word, so that words never seen there count too)."""
-    s = np.array([p[0] for p in positive] or [1.0])
-    p = (np.array([p[1] for p in positive] or [0.0]) + 0.5) / (n + 0.5 * len(s))
+    def score(self, word: str) -> float:
+        found = self.words.get(word)
+        if found is None:
+            for q in range(min(STEMS[-1], len(word) - 1), STEMS[0] - 1, -1):
+                found = self.stems.get(word[:q])
+                if found is not None:
+                    return found
+            return 0.0
+        return found
+
+
+class Vocabulary:
+    """The sample's words with their stems numbered once for all fits: ``stem``
+    and ``above`` number each word's and each stem's longest stem."""
+
+    def __init__(self, words: list[str]):
+        self.words, self.stems = words, []
+        number: dict[str, int] = {}
+        self.chain: list[tuple[np.ndarray, np.ndarray]] = []  # by length: words that have such a stem, its number
+        for q in STEMS:
+            at = [k for k, w in enumerate(words) if len(w) > q]
+            codes = [number.setdefault(words[k][:q], len(number)) for k in at]
+            self.chain.append((np.array(at, np.int64), np.array(codes, np.int64)))
+        self.stems = list(number)
+        self.above = np.array([number.get(s[:-1], -1) for s in self.stems], np.int64)
+        self.length = np.array([len(s) for s in self.stems], np.int64)
+
+
+def fit_lexicon(vocabulary: Vocabulary, counts: np.ndarray, share: np.ndarray, prior: float,
+                drift: float) -> Lexicon:
+    """``counts``: documents that hold each word, clean and toxic; ``share``: a
+    word's share of all documents' words."""
+    v, n = vocabulary, np.maximum(1.0, counts.sum(axis=0))
+    of_stem = np.zeros((len(v.stems), 2))
+    for at, codes in v.chain:
+        for k in range(2):
+            of_stem[:, k] += np.bincount(codes, counts[at, k], len(v.stems))
+
+    def rates(c, part, above):
+        return (c + prior * above) / (n * part[:, None] + prior)
+
+    known = of_stem.sum(axis=1) > 1
+    rate = np.ones((len(v.stems) + 1, 2))  # the last one: no stem
+    stem_of = np.full(len(v.words), len(v.stems))  # the longest known stem of each word
+    for q, (at, codes) in zip(STEMS, v.chain):
+        own = np.flatnonzero(v.length == q)
+        rate[own] = rate[v.above[own]] if q > STEMS[0] else 1.0
+        own = own[known[own]]
+        rate[own] = rates(of_stem[own], of_stem[own].sum(axis=1) / n.sum(), rate[own])
+        stem_of[at[known[codes]]] = codes[known[codes]]
+    total = counts.sum(axis=1)
+    kept = np.flatnonzero(total > 1)
+    part = np.maximum(share[kept], total[kept] / n.sum())
+    of_word = rates(counts[kept], part, rate[stem_of[kept]])
+    score = np.log(of_word[:, 1] / of_word[:, 0])
+    stems = np.flatnonzero(known)
+    return Lexicon(dict(zip([v.words[k] for k in kept], score.tolist())),
+                   dict(zip([v.stems[k] for k in stems], np.log(rate[stems, 1] / rate[stems, 0]).tolist())),
+                   drift, extreme_value_scale(score - drift, part * of_word[:, 0], drift))
+
+
+def extreme_value_scale(s: np.ndarray, p: np.ndarray, drift: float) -> float:
+    """The lambda > 0 with E[exp(lambda score)] = 1 over clean words with scores
+    ``s`` and frequencies ``p``; other words score -drift."""
     rest = max(1e-9, 1 - p.sum())
 
     def excess(x):
-        return float(np.log(rest * np.exp(x * drift) + (p * np.exp(np.minimum(x * s, 700))).sum()))
+        return float(np.log(rest * np.exp(-x * drift) + (p * np.exp(np.minimum(x * s, 700))).sum()))
 
     low, high = 0.0, 1.0
     while excess(high) < 0 and high < 64:
@@ -147,18 +225,34 @@ def extreme_value_scale(positive: list[tuple[float, float]], n: float, drift: fl
     return max(low, 0.05)
 
 
-def maximal_segments(at: list[int], score: list[float], drift: float) -> list[tuple[int, int, float]]:
-    """All maximal-scoring segments of a sequence that scores ``score[k]`` at
-    positions ``at[k]`` and ``drift`` elsewhere, as (first, last, score).
+def fit_lexicons(counted: DataFrame, corpus: DataFrame, prior: float, drift: float) -> list[Lexicon]:
+    """One lexicon without each fold, and the one of the whole sample.  What is
+    collected is the sample's vocabulary, bounded by the sample."""
+    total = float(corpus.agg(F.sum("n")).head()[0] or 1)
+    cells = [F.sum(F.when((F.col("fold") == f) & (F.col("toxic") == y), F.col("n")).otherwise(0)).alias(f"c{f}{y}")
+             for f in range(FOLDS) for y in (0, 1)]
+    rows = counted.groupBy("word").agg(*cells).join(corpus.withColumnRenamed("n", "_all"), "word", "left").toArrow()
+    number = lambda c: rows.column(c).fill_null(0).to_numpy().astype(float)
+    by_fold = np.stack([np.stack([number(f"c{f}{y}") for y in (0, 1)], axis=1) for f in range(FOLDS)])
+    words = Vocabulary(rows.column("word").to_pylist())
+    return [fit_lexicon(words, by_fold.sum(axis=0) - (0 if f is None else by_fold[f]), number("_all") / total,
+                        prior, drift) for f in [*range(FOLDS), None]]
+
+
+def maximal_segments(scores: list[float], drift: float = 0.0) -> list[tuple[int, int, float]]:
+    """All maximal-scoring segments of ``scores`` less ``drift`` each, as (first,
+    last, score).
 
     Linear: a stack of candidates with the sums before (``low``) and after
-    (``high``) each; a new one swallows those that it improves on."""
+    (``high``) each; a new one swallows those that it improves on.  Only
+    positions that score above 0 need a look."""
+    at = [k for k, v in enumerate(scores) if v > drift]
+    if not at:
+        return []
+    before = list(accumulate(scores, initial=0.0))
     stack: list[list] = []  # first, last, low, high, index of the nearest candidate with a smaller low
-    total, here = 0.0, 0
-    for p, s in zip(at, score):
-        low = total + drift * (p - here)
-        total, here = low + s, p + 1
-        first, high = p, total
+    for p in at:
+        low, high, first = before[p] - drift * p, before[p + 1] - drift * (p + 1), p
         while True:
             k = len(stack) - 1
             while k >= 0 and stack[k][2] >= low:
@@ -172,43 +266,58 @@ def maximal_segments(at: list[int], score: list[float], drift: float) -> list[tu
 
 
 class _Scores(dict):
-    """Score of a raw word, 0 outside the lexicon."""
+    """Word -> log-odds."""
 
-    def __init__(self, scores: dict[str, float]):
-        super().__init__()
-        self.scores = scores
+    def __init__(self, lexicon: Lexicon):
+        super().__init__({"": 0.0})
+        self.lexicon = lexicon
 
-    def __missing__(self, raw: str) -> float:
-        v = self.scores.get(word_of(raw), 0.0)
+    def __missing__(self, word: str) -> float:
+        v = self.lexicon.score(word)
         if len(self) < REMEMBERED:
-            self[raw] = v
+            self[word] = v
         return v
 
 
-def scan(docs: DataFrame, lexicon, labels) -> DataFrame:
-    """doc_id, n_words, label (of the sample's documents), segments: array of
-    struct<first, last, score> (word numbers) of every whole text."""
-    segment = pa.struct([("first", pa.int64()), ("last", pa.int64()), ("score", pa.float64())])
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("label", pa.int32()),
-                        ("segments", pa.list_(segment))])
+def word_scores(words: list[str], score) -> list[float]:
+    """Score of each word of a text: log-odds at its first place, only their
+    negative part after it."""
+    out, seen = list(map(score, words)), set()
+    for k in [k for k, v in enumerate(out) if v > 0.0]:
+        if words[k] in seen:
+            out[k] = 0.0
+        else:
+            seen.add(words[k])
+    return out
+
+
+SEGMENT = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType()),
+                                    T.StructField("score", T.DoubleType())]))
+ARROW_SEGMENT = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("score", pa.float64())]))
+
+
+def scan(rows: DataFrame, lexicons, keep: list[str], fold: str) -> DataFrame:
+    """The columns ``keep``, n_words, segments: array of struct<first, last, score>
+    (word numbers) of every whole ``text``, by the lexicon that the column ``fold`` numbers."""
+    rows = rows.select(*dict.fromkeys((*keep, "text", fold)))
+    out = T.StructType([*rows.select(*keep).schema, T.StructField("n_words", T.LongType()),
+                        T.StructField("segments", SEGMENT)])
 
     def run(batches):
-        lex = lexicon.value
-        memo = _Scores(lex.scores)
+        lex = lexicons.value
+        folded, memo = _Folded(), {k: _Scores(x) for k, x in lex.items()}
         for b in common.row_slices(batches):
-            ids, n_words, found = b.column("doc_id"), [], []
-            for text in b.column("text").to_pylist():
-                words = text.split()
-                scores = list(map(memo.__getitem__, words))
+            n_words, found = [], []
+            for text, f in zip(b.column("text").to_pylist(), b.column(fold).to_pylist()):
+                words = list(map(folded.__getitem__, (text or "").split()))
                 n_words.append(len(words))
-                at = [k for k, v in enumerate(scores) if v] if any(scores) else []
-                found.append([{"first": a, "last": z, "score": s} for a, z, s in
-                              maximal_segments(at, [scores[k] for k in at], lex.drift)])
-            yield common.table_batch(schema, doc_id=ids, n_words=n_words, segments=found,
-                                     label=[labels.value.get(d) for d in ids.to_pylist()])
+                found.append([{"first": a, "last": z, "score": s} for a, z, s in maximal_segments(
+                    word_scores(words, memo[f].__getitem__), lex[f].drift)])
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(c) for c in keep), pa.array(n_words, pa.int64()), pa.array(found, ARROW_SEGMENT)],
+                names=[*keep, "n_words", "segments"])
 
-    return docs.mapInArrow(run, "doc_id long, n_words long, label int, "
-                                "segments array<struct<first:long,last:long,score:double>>")
+    return rows.mapInArrow(run, out)
 
 
 @dataclass
@@ -218,14 +327,12 @@ class Calibration:
     slope: float
 
 
-def evidence(scanned: DataFrame, scale: float, log_k: float) -> DataFrame:
-    """Adds ``evidence``: best segment, plus the excess of further significant
-    ones; 0 for texts without a segment."""
+def significant(scale: float, log_k: float):
+    """Columns: the segments whose evidence is above 0, and the sum of theirs."""
     space = F.lit(log_k) + F.log(F.greatest(F.col("n_words"), F.lit(1)).cast("double"))
-    own = F.transform("segments", lambda s: F.lit(scale) * s["score"] - space)
-    best = F.greatest(F.coalesce(F.array_max(own), F.lit(0.0)), F.lit(0.0))
-    more = F.aggregate(F.filter(own, lambda v: v > 0), F.lit(0.0), lambda a, v: a + v)
-    return scanned.withColumn("evidence", best + F.log1p(F.greatest(more - best, F.lit(0.0))))
+    real = F.filter("segments", lambda s: F.lit(scale) * s["score"] > space)
+    total = F.aggregate(real, F.lit(0.0), lambda a, s: a + F.lit(scale) * s["score"] - space)
+    return real, total
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, float]:
@@ -243,43 +350,67 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float,
     return a, b
 
 
+def extreme_value_k(best: np.ndarray, n_words: np.ndarray, scale: float) -> float:
+    """ln K of largest likelihood from the best segments of clean texts."""
+    if not len(best):
+        return 0.0
+    return float(np.log(len(best) / (n_words * np.exp(-scale * best)).sum()))
+
+
 def calibrate(scanned: DataFrame, scale: float) -> Calibration:
-    """Fitted on the labelled sample (bounded by its size), on the driver."""
-    rows = scanned.where("label is not null").select(
-        "label", "n_words", F.coalesce(F.array_max(F.transform("segments", lambda s: s["score"])),
-                                       F.lit(0.0)).alias("best"))
-    clean = rows.where("label = 0 and n_words > 0").agg(
-        F.count("*").alias("n"), F.sum(F.col("n_words") * F.exp(F.lit(-scale) * F.col("best"))).alias("w")).head()
-    log_k = float(np.log(max(clean.n, 1) / clean.w)) if clean.w else 0.0
-    sample = evidence(scanned.where("label is not null"), scale, log_k).select("label", "evidence").collect()
-    if not sample:
+    """``scanned``: toxic and the segments out of fold of the sample (bounded by
+    its size); fitted on the driver."""
+    best = F.coalesce(F.array_max(F.transform("segments", lambda s: s["score"])), F.lit(0.0))
+    rows = scanned.where("n_words > 0").select("toxic", "n_words", best.alias("best")).toArrow().to_pandas()
+    clean = rows[rows["toxic"] == 0]
+    log_k = extreme_value_k(clean["best"].to_numpy(), clean["n_words"].to_numpy().astype(float), scale)
+    seen = scanned.select("toxic", significant(scale, log_k)[1].alias("evidence")).toArrow().to_pandas()
+    if not len(seen):
         return Calibration(log_k, 0.0, 0.0)
-    x = np.minimum(np.array([r.evidence for r in sample]), 50.0)
-    return Calibration(log_k, *fit_logistic(x, np.array([float(r.label) for r in sample])))
+    return Calibration(log_k, *fit_logistic(np.minimum(seen["evidence"].to_numpy(float), CEILING),
+                                            seen["toxic"].to_numpy(float)))
+
+
+#: Evidence beyond which a text is not more likely toxic.
+CEILING = 50.0
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 50_000, id_col: str = "doc_id",
-             text_col: str = "text", **options) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 20_000, prior: float = 2.0, drift: float = 0.8,
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Score of every whole text.
 
     Columns: doc_id, held_out, score, predicted, evidence, n_segments and
     segments (significant ones, as word numbers and scores).  Learned only from
     labels of rows that are not held out, at most ``sample`` of them; word counts
-    cover all documents.  A null or empty text has no segment and gets the score
-    of such texts; a null id gives null held_out; without labels of both kinds
+    cover all documents.  ``prior`` and ``drift`` were chosen on folds of the rows
+    that may be learned from.
+
+    A null or empty text has no segment and gets the score of such texts; a null id
+    gives null held_out; rows that repeat an id are scored one by one, each by its
+    own text, and an empty table gives an empty result.  Without labels of both kinds
     every score is that of the prior share of toxic rows (0.5 without labels).
     """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    out_of = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return score_rows(rows, labels, ["doc_id"], sample, prior, drift).select(
+        "doc_id", out_of.alias("held_out"), "score", "predicted", "evidence", "n_segments", "segments")
+
+
+def score_rows(docs: DataFrame, labels: DataFrame, keep: list[str], sample: int = 20_000, prior: float = 2.0,
+               drift: float = 0.8) -> DataFrame:
+    """The columns ``keep`` of each row, then score, predicted, evidence, n_segments
+    and segments, by the row's own text; ``docs`` has doc_id, text and ``keep``."""
     spark: SparkSession = docs.sparkSession
     common.ship(spark)
-    rows = common.texts(docs, id_col, text_col)
-    known = spark.sparkContext.broadcast(training_labels(labels, sample))
-    lex = fit_lexicon(rows, known, **options)
-    scanned = common.cut(scan(rows, spark.sparkContext.broadcast(lex), known), "segments")
-    fit = calibrate(scanned, lex.scale)
-    seen = evidence(scanned, lex.scale, fit.log_k)
-    space = F.lit(fit.log_k) + F.log(F.greatest(F.col("n_words"), F.lit(1)).cast("double"))
-    real = F.filter("segments", lambda s: F.lit(lex.scale) * s["score"] > space)
-    score = 1 / (1 + F.exp(-(F.lit(fit.intercept) + F.lit(fit.slope) * F.least("evidence", F.lit(50.0)))))
-    return seen.select("doc_id", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).alias("held_out"),
-                       score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), "evidence",
-                       F.size(real).cast("long").alias("n_segments"), real.alias("segments"))
+    rows = common.texts(docs)
+    texts = common.cut(training_texts(rows, training_labels(labels, sample)), "sample")
+    lexicons = fit_lexicons(class_counts(texts), common.cut(word_counts(rows), "words"), prior, drift)
+    final = lexicons.pop()
+    of_fold = spark.sparkContext.broadcast(dict(enumerate(lexicons)))
+    fit = calibrate(common.cut(scan(texts, of_fold, ["toxic"], "fold"), "out-of-fold"), final.scale)
+    seen = scan(docs.withColumn("_whole", F.lit(-1)), spark.sparkContext.broadcast({-1: final}), keep, "_whole")
+    real, total = significant(final.scale, fit.log_k)
+    score = 1 / (1 + F.exp(-(F.lit(fit.intercept) + F.lit(fit.slope) * F.least(F.col("evidence"), F.lit(CEILING)))))
+    return (seen.withColumn("evidence", total).withColumn("segments", real)
+            .select(*keep, score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), "evidence",
+                    F.size("segments").cast("long").alias("n_segments"), "segments"))

@@ -1,6 +1,8 @@
+import math
 import random
 import zlib
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -8,14 +10,14 @@ from paylake.llm import toxicity
 
 
 def brute_segments(scores):
-    """All maximal-scoring segments, recursively: the best one, then what is
-    left and right of it."""
+    """All maximal-scoring segments, recursively: the best one (the shortest of those
+    that score as much, the first of these), then what is left and right of it."""
     best, where = 0.0, None
     for a in range(len(scores)):
         total = 0.0
         for z in range(a, len(scores)):
             total += scores[z]
-            if total > best + 1e-9:
+            if total > best + 1e-9 or (where and abs(total - best) <= 1e-9 and z - a < where[1] - where[0]):
                 best, where = total, (a, z)
     if where is None:
         return []
@@ -24,13 +26,113 @@ def brute_segments(scores):
     return brute_segments(scores[:a]) + [(a, z, best)] + right
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.lists(st.sampled_from([-0.25, -0.25, -0.25, 1.0, 0.4375, 2.125]), max_size=40))
+@settings(max_examples=2000, deadline=None)
+@given(st.lists(st.sampled_from([-0.25, -0.25, -0.25, 0.0, 1.0, 0.4375, 2.125]), max_size=40))
 def test_segments_equal_brute_force(scores):
-    at = [k for k, v in enumerate(scores) if v > 0]
-    got = toxicity.maximal_segments(at, [scores[k] for k in at], -0.25)
-    want = brute_segments(scores)
-    assert [(round(s, 6)) for *_, s in got] == [(round(s, 6)) for *_, s in want]
+    assert toxicity.maximal_segments(scores) == brute_segments(scores)
+    shifted = [v + 0.5 for v in scores]
+    assert toxicity.maximal_segments(shifted, 0.5) == brute_segments(scores)
+
+
+def test_tie_goes_to_the_shortest():
+    assert toxicity.maximal_segments([1.0, -0.25, -0.25, -0.25, -0.25, 2.125]) == [(0, 0, 1.0), (5, 5, 2.125)]
+
+
+def test_repeated_words_score_once():
+    odds = {"a": 2.0, "b": -1.0, "c": 0.0}
+    assert toxicity.word_scores(list("abaacb"), odds.__getitem__) == [2.0, -1.0, 0.0, 0.0, 0.0, -1.0]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="aB1.,#' -é", max_size=12))
+def test_word_has_no_edges(raw):
+    from itertools import dropwhile
+
+    inner = list(dropwhile(lambda c: not c.isalnum(), raw))
+    inner = list(dropwhile(lambda c: not c.isalnum(), inner[::-1]))[::-1]
+    assert toxicity.word_of(raw) == "".join(inner).lower()
+
+
+def plain_lexicon(counts, share, prior):
+    """Rates of words and stems, one by one."""
+    n = [max(1.0, sum(c[k] for c in counts.values())) for k in (0, 1)]
+    stems = {}
+    for w, c in counts.items():
+        for q in toxicity.STEMS:
+            if len(w) > q:
+                old = stems.get(w[:q], (0, 0))
+                stems[w[:q]] = (old[0] + c[0], old[1] + c[1])
+    stems = {s: c for s, c in stems.items() if sum(c) > 1}
+
+    def rate_of(c, part, above):
+        return [(c[k] + prior * above[k]) / (n[k] * part + prior) for k in (0, 1)]
+
+    def of_stem(s):
+        if len(s) < toxicity.STEMS[0]:
+            return [1.0, 1.0]
+        return rate_of(stems[s], sum(stems[s]) / sum(n), of_stem(s[:-1]))
+
+    def above(w):
+        known = [w[:q] for q in toxicity.STEMS if len(w) > q and w[:q] in stems]
+        return of_stem(known[-1]) if known else [1.0, 1.0]
+
+    out = {}
+    for w, c in counts.items():
+        r = rate_of(c, max(share.get(w, 0.0), sum(c) / sum(n)), above(w)) if sum(c) > 1 else above(w)
+        out[w] = math.log(r[1] / r[0])
+    return out
+
+
+def test_lexicon_equals_plain_rates():
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abc", k=rng.randint(1, 11))) for _ in range(400)]
+    counts = {w: (rng.randint(0, 3), rng.randint(0, 2)) for w in words}
+    counts = {w: c for w, c in counts.items() if sum(c)}
+    share = {w: rng.random() / 200 for w in counts}
+    names = list(counts)
+    lex = toxicity.fit_lexicon(toxicity.Vocabulary(names), np.array([counts[w] for w in names], float),
+                               np.array([share[w] for w in names]), 2.0, 0.8)
+    for w, v in plain_lexicon(counts, share, 2.0).items():
+        assert abs(lex.score(w) - v) < 1e-9
+    assert lex.score("zzz") == 0.0
+
+
+def test_scale_solves_its_equation():
+    s, p = np.array([2.0, -0.5, -3.0]), np.array([0.05, 0.4, 0.3])
+    x = toxicity.extreme_value_scale(s, p, 0.8)
+    assert abs((p * np.exp(x * s)).sum() + 0.25 * math.exp(-0.8 * x) - 1) < 1e-6
+
+
+def test_k_is_of_largest_likelihood():
+    rng = np.random.default_rng(4)
+    n = rng.integers(5, 500, 300).astype(float)
+    best = (np.log(0.02 * n) - np.log(-np.log(rng.random(300)))) / 1.3
+    log_k = toxicity.extreme_value_k(best, n, 1.3)
+
+    def likelihood(v):
+        return (math.log(1.3) + v + np.log(n) - 1.3 * best - np.exp(v) * n * np.exp(-1.3 * best)).sum()
+
+    assert likelihood(log_k) > max(likelihood(log_k - 0.01), likelihood(log_k + 0.01))
+    assert abs(log_k - math.log(0.02)) < 0.2
+
+
+def test_evidence_is_that_of_significant_segments(spark):
+    rows = [(10, [(0, 0, 3.0), (4, 5, 1.0), (8, 8, 5.0)]), (0, []), (1000, [(1, 1, 6.0)])]
+    df = spark.createDataFrame(rows, "n_words long, segments array<struct<first:long,last:long,score:double>>")
+    real, total = toxicity.significant(1.5, -1.0)
+    for (n, segments), r in zip(rows, df.select(real.alias("real"), total.alias("total")).collect()):
+        own = [1.5 * s + 1.0 - math.log(max(n, 1)) for *_, s in segments]
+        assert abs(r.total - sum(v for v in own if v > 0)) < 1e-9
+        assert [tuple(x) for x in r.real] == [x for x, v in zip(segments, own) if v > 0]
+
+
+def test_equal_texts_count_once_however_they_are_dealt(spark):
+    rows = [(i, "same bad text" if i % 2 else f"text {i % 6} here") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    for parts in (1, 7):
+        texts = toxicity.training_texts(docs.repartition(parts), known)
+        assert texts.count() == 4 and texts.where("toxic = 1").count() == 1
 
 
 def test_held_out_accuracy(spark):
