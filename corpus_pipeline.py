@@ -24,10 +24,9 @@ def _keep(docs: DataFrame, decision: DataFrame) -> DataFrame:
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are scored toxic go."""
+    """Documents that are scored toxic go; each row by its own text, whatever its id."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    scored = toxicity.toxicity(docs, labels).where("predicted = 0")
-    return _keep(docs.select(*COLUMNS), scored)
+    return toxicity.score_rows(docs, labels, list(COLUMNS)).where("predicted = 0").select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,6 +61,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``.  A null text counts as empty and is packed as
+    its end token alone; rows without an id stay; of rows that repeat an id, near_dedup
+    keeps one; further columns are dropped by the first stage; an empty table gives an
+    empty result."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES:
         docs = common.cut(stage(spark, docs, sf_dir), f"stage-{name}")
