@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe_codec, license_scan, minmax_dedup, packing, pii, rp_forest, token_counts,
+from . import (bpe_codec, license_scan, minmax_dedup, packing, periodic_runs, pii, rp_forest, token_counts,
                topk_search, toxicity, url_filter)
 
 
@@ -90,9 +90,14 @@ def op10_license_scan(spark, sf_dir):
     return license_scan.license_scan(read(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark, sf_dir):
+    """Runs of all documents, some of which get words that repeat."""
+    return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.planted(read(spark, sf_dir, "documents"))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pii_sanitisation, op2_toxic_segments, op3_minmax_dedup, op4_bpe_codec, op5_rp_forest, op6_packing,
-    op7_url_filter, op8_token_counts, op9_exact_topk, op10_license_scan)}
+    op7_url_filter, op8_token_counts, op9_exact_topk, op10_license_scan, op11_periodic_runs)}
 
 _N = "CAST('0x' || substr(md5({}), 1, 6) AS BIGINT)"
 
