@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe_codec, license_scan, minmax_dedup, packing, periodic_runs, pii, rp_forest, token_counts,
-               topk_search, toxicity, url_filter)
+from . import (bpe_codec, hard_negatives, license_scan, minmax_dedup, packing, periodic_runs, pii, rp_forest,
+               token_counts, topk_search, toxicity, url_filter)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,9 +95,17 @@ def op11_periodic_runs(spark, sf_dir):
     return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.planted(read(spark, sf_dir, "documents"))))
 
 
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives of all anchors; some rows get the next label first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pii_sanitisation, op2_toxic_segments, op3_minmax_dedup, op4_bpe_codec, op5_rp_forest, op6_packing,
-    op7_url_filter, op8_token_counts, op9_exact_topk, op10_license_scan, op11_periodic_runs)}
+    op7_url_filter, op8_token_counts, op9_exact_topk, op10_license_scan, op11_periodic_runs,
+    op12_hard_negatives)}
 
 _N = "CAST('0x' || substr(md5({}), 1, 6) AS BIGINT)"
 
@@ -153,8 +161,30 @@ s AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5"""
 
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_sum([a.x[i] * c.x[i] for i in range(1, len(a.x) + 1)]) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS n
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(n AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE n <= 3"""
+
 ORACLE_SQL = {
     "op7_url_filter": URL_SQL,
     "op9_exact_topk": TOPK_SQL,
     "op10_license_scan": license_scan.oracle_sql(),
+    "op12_hard_negatives": NEGATIVES_SQL,
 }
