@@ -183,8 +183,10 @@ def oracle_sql(table: str = "documents") -> str:
     """The same scan as DuckDB SQL, built from the same fixed values."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     triggers = lambda c: "(" + " OR ".join(f"contains({c}, {quote(t)})" for t in TRIGGERS) + ")"
-    cases = " ".join(f"WHEN regexp_matches(p, {quote(p)}) THEN {quote(i)}" for i, p in SENTENCES)
+    cases = ", ".join(f"CASE WHEN regexp_matches(p, {quote(p)}) THEN {quote(i)} END" for i, p in SENTENCES)
     end = "([.!?;])[ \\t\\r\\n]+|\\r?\\n[ \\t]*\\r?\\n"
+    # no look-behind there: the stop of "v. 2.0" is put away while sentences are cut
+    low = f"regexp_replace(replace(replace(low, chr(1), ' '), chr(2), ' '), '\\bv\\.([ \\t\\r\\n]+[0-9])', 'v' || chr(2) || '\\1', 'g')"
     steps, last = [], "r0"
     for k, (name, seq) in enumerate(RULES):
         text = quote("".join(f"<{s}>" for s in seq))
@@ -196,10 +198,11 @@ def oracle_sql(table: str = "documents") -> str:
     return f"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS low FROM {table}),
 s AS (SELECT doc_id, CASE WHEN {triggers('low')} THEN [s for s in
-    string_split(regexp_replace(replace(low, chr(1), ' '), '{end}', '\\1' || chr(1), 'g'), chr(1)) if {triggers('s')}]
+    [replace(x, chr(2), '.') for x in string_split(regexp_replace({low}, '{end}', '\\1' || chr(1), 'g'), chr(1))]
+    if {triggers('s')}]
     ELSE []::VARCHAR[] END AS known FROM d),
 t AS (SELECT doc_id, [regexp_replace(s, '[^a-z0-9.+]+', ' ', 'g') for s in known] AS plain FROM s),
-n AS (SELECT doc_id, [CASE {cases} END for p in plain] AS names FROM t),
+n AS (SELECT doc_id, flatten([[{cases}] for p in plain]) AS names FROM t),
 i AS (SELECT doc_id, [x for x in names if x IS NOT NULL] AS ids FROM n),
 r0 AS (SELECT doc_id, ids, array_to_string(['<' || x || '>' for x in ids], '') AS rest,
     []::VARCHAR[] AS names FROM i),

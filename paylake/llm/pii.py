@@ -108,14 +108,34 @@ def entity_of(text: str, span: tuple[int, int, int]) -> str:
     return f"{KINDS[span[1]]}:{re.sub(r'[^0-9]', '', value) if span[1] > 1 else value}"
 
 
+def words_before(text: str, at: int, words: int) -> list[str]:
+    """The last ``words`` whole words (the part of one at ``at`` counts) before ``at``, however long."""
+    size = 40 * words
+    while True:
+        start = max(0, at - size)
+        found = text[start:at].split()
+        if start == 0 or len(found) > words:  # the first one may be cut
+            return found[-words:]
+        size *= 4
+
+
+def words_after(text: str, at: int, words: int) -> list[str]:
+    """The first ``words`` whole words after ``at``."""
+    size = 40 * words
+    while True:
+        found = text[at:at + size].split()
+        if at + size >= len(text) or len(found) > words:
+            return found[:words]
+        size *= 4
+
+
 def contexts(text: str, spans: list[tuple[int, int, int]], words: int) -> dict[tuple[str, str], int]:
     """(entity, term) -> hash of a context, for terms within ``words`` words of
     a mention; the smallest hash if the pair stands in several contexts."""
     out: dict[tuple[str, str], int] = {}
     for s in spans:
-        before = text[max(0, s[0] - 40 * words):s[0]].split()[-words:]
-        after = text[s[2]:s[2] + 40 * words].split()[:words]
-        near = [t for t in map(term_of, before + after) if t]
+        around = words_before(text, s[0], words) + words_after(text, s[2], words)
+        near = [t for t in map(term_of, around) if t]
         entity = entity_of(text, s)
         mark = zlib.crc32(" ".join(near).encode())
         for t in near:

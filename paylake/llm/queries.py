@@ -56,20 +56,29 @@ def url_captures(pages: DataFrame) -> DataFrame:
 
 def url_entries(pages: DataFrame) -> DataFrame:
     """A dated list derived from the hosts of all pages: hosts and the hosts
-    above them are blocked, released and blocked again; some are allowed."""
+    above them are blocked, released and blocked again; some are allowed.  Of hosts
+    with the first step of a path, written with the scheme, some are blocked or allowed."""
     host = pages.select(url_filter.host_of(F.col("url")).alias("host")).where("host <> ''").distinct()
     above = host.select(F.regexp_replace("host", r"^[^.]*\.", "").alias("above")).where(
         F.col("above").contains(".") & F.col("above").rlike(r"\..*\.")).distinct()
     day = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), n.cast("int"))
+    first = F.get(url_filter.steps_of(F.col("url")), 0)
+    path = (pages.select(url_filter.host_of(F.col("url")).alias("host"), first.alias("step"))
+            .where("host <> '' and step is not null and not contains(step, ' ')").distinct()
+            .select(F.concat_ws("/", "host", "step").alias("path"), F.concat(F.lit("https://WWW."), "host", F.lit("/"), "step",
+                                                                             F.lit("/")).alias("written")))
     n = _number(F.col("host"))
     u = _number(F.col("above"))
+    v = _number(F.col("path"))
     entry = lambda df, p, kind, action, at: df.select(
         F.col(p).alias("pattern"), F.lit(kind).alias("kind"), F.lit(action).alias("action"), at.alias("entry_date"))
     out = entry(host.where(n % 3 == 0), "host", "block", "add", day(n % 200))
     out = out.unionByName(entry(host.where(n % 6 == 0), "host", "block", "remove", day(n % 200 + 60)))
     out = out.unionByName(entry(host.where(n % 30 == 0), "host", "block", "add", day(n % 200 + 120)))
     out = out.unionByName(entry(host.where(n % 7 == 0), "host", "allow", "add", day(n % 100 + 50)))
-    return out.unionByName(entry(above.where(u % 4 == 1), "above", "block", "add", day(u % 150)))
+    out = out.unionByName(entry(above.where(u % 4 == 1), "above", "block", "add", day(u % 150)))
+    out = out.unionByName(entry(path.where(v % 5 == 0), "written", "block", "add", day(v % 300)))
+    return out.unionByName(entry(path.where(v % 5 == 1), "path", "allow", "add", day(v % 300)))
 
 
 def op7_url_filter(spark, sf_dir):
@@ -129,12 +138,17 @@ c AS (
 h AS (SELECT DISTINCT host, {_N.format("host")} AS n FROM c WHERE host <> ''),
 a AS (SELECT DISTINCT above, {_N.format("above")} AS n FROM (
         SELECT regexp_replace(host, '^[^.]*\.', '') AS above FROM h) WHERE regexp_matches(above, '\..*\.')),
+q AS (SELECT DISTINCT host || '/' || step AS path, {_N.format("host || '/' || step")} AS n FROM (
+        SELECT host, [s for s in string_split(path, '/') if s <> ''][1] AS step FROM c)
+      WHERE host <> '' AND step IS NOT NULL AND NOT contains(step, ' ')),
 e AS (
   SELECT host AS pattern, 'block' AS kind, TRUE AS added, DATE '2024-01-01' + CAST(n % 200 AS INTEGER) AS d FROM h WHERE n % 3 = 0
   UNION ALL SELECT host, 'block', FALSE, DATE '2024-01-01' + CAST(n % 200 + 60 AS INTEGER) FROM h WHERE n % 6 = 0
   UNION ALL SELECT host, 'block', TRUE, DATE '2024-01-01' + CAST(n % 200 + 120 AS INTEGER) FROM h WHERE n % 30 = 0
   UNION ALL SELECT host, 'allow', TRUE, DATE '2024-01-01' + CAST(n % 100 + 50 AS INTEGER) FROM h WHERE n % 7 = 0
-  UNION ALL SELECT above, 'block', TRUE, DATE '2024-01-01' + CAST(n % 150 AS INTEGER) FROM a WHERE n % 4 = 1),
+  UNION ALL SELECT above, 'block', TRUE, DATE '2024-01-01' + CAST(n % 150 AS INTEGER) FROM a WHERE n % 4 = 1
+  UNION ALL SELECT path, CASE n % 5 WHEN 0 THEN 'block' ELSE 'allow' END, TRUE,
+    DATE '2024-01-01' + CAST(n % 300 AS INTEGER) FROM q WHERE n % 5 < 2),
 daily AS (SELECT pattern, kind, d, bool_and(added) AS added FROM e GROUP BY ALL),
 iv AS (SELECT * FROM (SELECT pattern, kind, added, d AS valid_from,
          lead(d) OVER (PARTITION BY pattern, kind ORDER BY d) AS valid_to FROM daily) WHERE added),
@@ -144,9 +158,8 @@ u2 AS (SELECT url, fetch_date, host, string_split(host, '.') AS labels,
 k AS (
   SELECT DISTINCT url, fetch_date, unnest(list_concat(
     [array_to_string(list_slice(labels, i, len(labels)), '.')
-      for i in range(greatest(1, len(labels) - {url_filter.MAX_LABELS - 1}), len(labels) + 1)],
-    [host || '/' || array_to_string(list_slice(steps, 1, i), '/')
-      for i in range(1, least(len(steps), {url_filter.MAX_STEPS}) + 1)])) AS key
+      for i in range(1, len(labels) + 1)],
+    [host || '/' || array_to_string(list_slice(steps, 1, i), '/') for i in range(1, len(steps) + 1)])) AS key
   FROM u2),
 v AS (
   SELECT k.url, k.fetch_date, count(*) AS n_active,

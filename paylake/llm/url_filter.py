@@ -16,9 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Labels and steps at which the comparison SQL of the query ends; nothing here does.
-MAX_LABELS = 10
-MAX_STEPS = 6
 HOST = r"^(?:[a-z][a-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 PATH = r"^(?:[a-z][a-z0-9+.\-]*:)?//[^/?#]*([^?#]*)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -113,3 +113,11 @@ def test_all_pairs_of_a_small_corpus_are_weighed(spark):
     docs = spark.createDataFrame([(1, "Joe joe@site.example.com"), (2, "Joe joe@site.example.com")], "doc_id long, text string")
     assert pii.disclosing_terms(docs).count() == 0
     assert pii.pii_report(docs).count() == 2
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a", "bb", "x" * 150, "y" * 900, " ", "\n", "  "]), max_size=12).map("".join), st.data())
+def test_context_is_whole_words(text, data):
+    at = data.draw(st.integers(0, len(text)))
+    assert pii.words_before(text, at, 5) == text[:at].split()[-5:]
+    assert pii.words_after(text, at, 5) == text[at:].split()[:5]

@@ -188,3 +188,18 @@ def test_long_and_loosely_written_patterns(spark):
     out = {r.page_id: r for r in url_filter.judge(caps, entries).collect()}
     assert [out[i].rule for i in range(len(cases))] == [w for _, w in cases]
     assert [out[i].blocked for i in range(len(cases))] == [w is not None for _, w in cases]
+
+
+def test_license_sql_keeps_all_identifiers_and_version_stops(spark):
+    texts = ["Copyright 2020 Ada, all rights reserved.", "Mozilla Public License, v. 2.0. Free of charge.",
+             "This Source Code Form is subject to the terms of the Mozilla Public License, v.\n2.0. Copyright 2021 B. "
+             "All rights reserved; SPDX-License-Identifier: MIT", "version v. x. Licensed under the MIT License! rev. 2",
+             "", None, "MIT License\n\nCopyright (c) 2020 C, all rights reserved"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    db = duckdb.connect()
+    db.execute("create table documents (doc_id bigint, text varchar)")
+    db.executemany("insert into documents values (?, ?)", list(enumerate(texts)))
+    want = {tuple(map(str, r)) for r in db.execute(license_scan.oracle_sql()).fetchall()}
+    got = license_scan.license_scan(docs).collect()
+    assert {tuple(map(str, r)) for r in got} == want
+    assert any(r.n_sentences > 1 for r in got) and any("MPL-2.0" in r.licenses for r in got)
