@@ -198,6 +198,25 @@ def test_key_re_sent_in_another_month_and_late_dimensions(spark, cfg):
     assert _mart(spark, cfg, "merchant_settlement").count() == 2
 
 
+def test_run_that_dies_between_base_and_marts_completes(spark, cfg):
+    from paylake.plans.changes import BASED, ChangeLog
+
+    _drop(cfg.landing, "20260101")
+    write_text(f"{cfg.landing}/fact_refunds_20260106.csv", REFUND_LATE)
+    with pytest.raises(RuntimeError):
+        run_batch(spark, cfg, fail_after="base:refunds")  # settlements and transactions come after it
+    log = ChangeLog(spark, f"{cfg.warehouse}/changes")
+    assert len(log.batches("refunds", BASED, "refund_insights")) == 1
+    run_batch(spark, cfg)
+    assert spark.read.parquet(f"{cfg.warehouse}/base/refunds").count() == 2
+    assert sorted(r.refund_id for r in _mart(spark, cfg, "refund_insights").collect()) == ["R1", "R9"]
+    for kind, fact in (("transaction_performance", "transactions"), ("merchant_settlement", "settlements"),
+                       ("refund_insights", "refunds")):
+        assert log.batches(fact, BASED, kind) == []
+        mart, base = _mart(spark, cfg, kind), spark.read.parquet(f"{cfg.warehouse}/base/{fact}")
+        assert mart.count() == base.count() > 0
+
+
 def test_stream_dedup_keeps_ledger(spark, tmp_path):
     from paylake import schemas as S
     from paylake.streaming import ingest
