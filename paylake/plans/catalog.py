@@ -19,6 +19,7 @@ from .. import schemas as S
 from ..functions import paths as P
 from ..operators import dedup, kpis, ledger, marts, profile, quality
 from ..session import scratch_dir
+from ..sinks import keyindex
 from ..sinks import parquet as sinks
 from ..sources import csv as csvsrc
 from ..sources import files as filesrc
@@ -162,6 +163,22 @@ def _idempotent_append(spark: SparkSession, d: str) -> DataFrame:
     return filesrc.read_mart(spark, out, kind)
 
 
+def _indexed_append(spark: SparkSession, d: str) -> DataFrame:
+    """Some refunds, then all (those again, but dated for another month) twice: each
+    ends up once, as first sent."""
+    kind = "refund_insights"
+    mart = Marts(spark, d).refund.persist(StorageLevel.MEMORY_AND_DISK)
+    out = scratch_dir(spark, f"mart-{kind}")
+    parts, key = marts.PARTITION_COLUMNS[kind], marts.MART_KEYS[kind]
+    first = F.col("refund_reason") == "SERVICE_ISSUE"
+    keyindex.indexed_append(mart.where(first), out, key, parts)
+    moved = mart.withColumn("refund_month", F.when(first, F.col("refund_month") % 12 + 1).otherwise(F.col("refund_month")))
+    for _ in range(2):
+        keyindex.indexed_append(moved, out, key, parts)
+    mart.unpersist()
+    return filesrc.read_mart(spark, out, kind)
+
+
 # ------------------------------------------------------------- validation
 
 def _missing_columns(spark: SparkSession, d: str) -> DataFrame:
@@ -267,6 +284,29 @@ def _job_late_transactions(spark: SparkSession, d: str) -> DataFrame:
     return filesrc.read_mart(spark, f"{cfg.warehouse}/marts/refund_insights", "refund_insights")
 
 
+def _job_late_dimensions(spark: SparkSession, d: str) -> DataFrame:
+    """Two batches: all facts with one half of each dimension's rows, then the other
+    halves.  Mart rows built without their dimension rows get them in the end."""
+    from .batch import BatchConfig, run_batch
+
+    root = scratch_dir(spark, "job-late-dimensions")
+    cfg = BatchConfig(landing=f"{root}/landing", warehouse=f"{root}/warehouse",
+                      ledger=f"{root}/ledger", route_by_folder=True)
+    keyed = fx.transactions_keyed(spark, d).persist(StorageLevel.MEMORY_AND_DISK)
+    dims = {"merchant": fx.merchants(spark, d), "customer": fx.customers(spark, d), "channel": fx.channels(spark, d)}
+    late = {name: F.crc32(F.col(S.BY_NAME[name].pk).cast("string").cast("binary")) % 2 == 0 for name in dims}
+    batches = ({**{name: df.where(~late[name]) for name, df in dims.items()},
+                "transactions": fx.transactions_clean(keyed), "refunds": fx.refunds_from(keyed),
+                "settlements": fx.settlements_from(keyed)},
+               {name: df.where(late[name]) for name, df in dims.items()})
+    for n, drops in enumerate(batches):
+        for name, df in drops.items():
+            csvsrc.write_csv(df, f"{cfg.landing}/{S.BY_NAME[name].token}_drop{n}")
+        run_batch(spark, cfg)
+    keyed.unpersist()
+    return filesrc.read_mart(spark, f"{cfg.warehouse}/marts/refund_insights", "refund_insights")
+
+
 # --------------------------------------------------------------- streaming
 
 def _stream_ingest_once(spark: SparkSession, d: str) -> DataFrame:
@@ -323,6 +363,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "src_list_files": _list_files,
     "snk_partitioned_roundtrip": _partitioned_roundtrip,
     "snk_idempotent_append": _idempotent_append,
+    "snk_indexed_append": _indexed_append,
     "val_file_extension": _file_extension,
     "val_missing_columns": _missing_columns,
     "path_normalize": _path_normalize,
@@ -335,6 +376,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "led_stale_active": _led_stale,
     "job_run_batch": _job_run_batch,
     "job_late_transactions": _job_late_transactions,
+    "job_late_dimensions": _job_late_dimensions,
     "stream_ingest_once": _stream_ingest_once,
     "stream_dedup": _stream_dedup,
 }

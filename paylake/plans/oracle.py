@@ -337,6 +337,7 @@ select distinct 'drop=' || cast(year(settlement_date) as varchar) parent from pa
 select * from mart_txn where transaction_year = 1995"""),
     "snk_partitioned_roundtrip": with_ctes(("mart_stl",), "select * from mart_stl"),
     "snk_idempotent_append": with_ctes(("mart_ref",), "select * from mart_ref"),
+    "snk_indexed_append": with_ctes(("mart_ref",), "select * from mart_ref"),
     "val_file_extension": with_ctes(("pay_files",), """
 select event_id, file_path, suffix(lower(file_path), '.csv') is_valid from pay_files"""),
     "val_missing_columns": """
@@ -390,3 +391,4 @@ where rn = 1"""),
 SQL["job_run_batch"] = SQL["kpi_monthly_channel_success"]
 # Over two batches, each refund finds its transaction whenever it comes.
 SQL["job_late_transactions"] = SQL["mart_refund_insights"]
+SQL["job_late_dimensions"] = SQL["mart_refund_insights"]
