@@ -25,6 +25,7 @@ from ..sources import csv as csvsrc
 from ..sources import files as filesrc
 from ..sources import tables as fx
 from ..streaming import ingest
+from ..streaming import marts as stream_marts
 
 
 class Marts:
@@ -336,6 +337,67 @@ def _stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
+#: Days after which the watermark stream may forget a transaction, and after which it is sent again.
+KEPT_DAYS, SOON_DAYS, LATE_YEARS = 365, 180, 4
+
+
+def _stream_watermark(spark: SparkSession, d: str) -> DataFrame:
+    """One drop a year of event time, each a run of its own from the checkpoint.  Every
+    drop sends the transactions of the year before again, dated 180 days later (inside the delay:
+    dropped), and those of four years before, dated four years later (forgotten by then: kept)."""
+    root = scratch_dir(spark, "stream-watermark")
+    landing = f"{root}/landing"
+    at = F.col("transaction_timestamp")
+    txn = (fx.transactions_clean(fx.transactions_keyed(spark, d)).where(at.isNotNull())
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    years = sorted(r[0] for r in txn.select(F.year(at)).distinct().collect())
+    soon = txn.where(F.year(at) < years[-1])
+    sent = (txn.withColumn("_drop", F.year(at))
+            .unionByName(soon.withColumn("_drop", F.year(at) + 1)
+                         .withColumn("transaction_timestamp", at + F.expr(f"interval {SOON_DAYS} days")))
+            .unionByName(txn.withColumn("_drop", F.year(at) + LATE_YEARS).where(F.col("_drop") <= years[-1])
+                         .withColumn("transaction_timestamp", at + F.expr(f"interval {LATE_YEARS} years"))))
+    for year in years:
+        csvsrc.write_csv(sent.where(F.col("_drop") == year).drop("_drop"), landing, mode="append")
+        ingest.dedup_within(ingest.file_stream(spark, landing, S.TRANSACTIONS), f"{root}/sink", f"{root}/_checkpoint",
+                            "transaction_id", "transaction_timestamp", f"{KEPT_DAYS} days")
+    txn.unpersist()
+    return spark.read.parquet(f"{root}/sink").select("transaction_id", "transaction_timestamp", "transaction_amount")
+
+
+def _stream_marts(spark: SparkSession, d: str) -> DataFrame:
+    """Three drops of transactions and refunds, by their own dates, go through the streams
+    to the refund mart; many refunds come before their transaction, some have none.  With each
+    comes a refund file whose first two columns are swapped, which must not be read."""
+    root = scratch_dir(spark, "stream-marts")
+    # a refund's date may lie years from its transaction's in these tables
+    cfg = stream_marts.StreamConfig(f"{root}/warehouse", f"{root}/ledger", delay="30 days", wait="2600 days")
+    keyed = fx.transactions_keyed(spark, d).persist(StorageLevel.MEMORY_AND_DISK)
+    merchant = dedup.latest_by_key(fx.merchants(spark, d), "merchant_id")
+    customer = dedup.latest_by_key(fx.customers(spark, d), "customer_id")
+    refunds = fx.refunds_from(keyed).select(*S.REFUNDS.columns)
+    swapped = S.REFUNDS.columns[1::-1] + S.REFUNDS.columns[2:]
+    drops = {"transactions": (S.TRANSACTIONS, fx.transactions_clean(keyed), "transaction_timestamp"),
+             "refunds": (S.REFUNDS, refunds, "refund_timestamp")}
+
+    def build(facts: DataFrame, transactions: DataFrame) -> DataFrame:
+        return marts.refund_insights(facts, transactions, merchant, customer)
+
+    part = F.when(F.col("_y") <= 1997, 0).when(F.col("_y") <= 1999, 1).otherwise(2)
+    for n in range(3):
+        for name, (spec, df, event) in drops.items():
+            rows = df.withColumn("_y", F.year(event)).where(part == n).drop("_y")
+            csvsrc.write_csv(rows, f"{root}/landing/{name}", mode="append")
+            if name == "refunds":
+                csvsrc.write_csv(rows.withColumn("refund_id", F.concat(F.lit("BAD"), "refund_id")).select(*swapped),
+                                 f"{root}/landing/{name}", mode="append")
+            stream_marts.ingest_checked(spark, f"{root}/landing/{name}", spec, cfg)
+        stream_marts.run_mart(spark, "refund_insights", build, cfg)
+    keyed.unpersist()
+    stream_marts.catch_up(spark, "refund_insights", build, cfg, close=True)
+    return filesrc.read_mart(spark, cfg.mart("refund_insights"), "refund_insights")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_transaction_performance": lambda spark, d: Marts(spark, d).transaction,
     "mart_merchant_settlement": lambda spark, d: Marts(spark, d).settlement,
@@ -379,4 +441,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "job_late_dimensions": _job_late_dimensions,
     "stream_ingest_once": _stream_ingest_once,
     "stream_dedup": _stream_dedup,
+    "stream_watermark": _stream_watermark,
+    "stream_marts": _stream_marts,
 }

@@ -392,3 +392,11 @@ SQL["job_run_batch"] = SQL["kpi_monthly_channel_success"]
 # Over two batches, each refund finds its transaction whenever it comes.
 SQL["job_late_transactions"] = SQL["mart_refund_insights"]
 SQL["job_late_dimensions"] = SQL["mart_refund_insights"]
+SQL["stream_marts"] = SQL["mart_refund_insights"]
+SQL["stream_watermark"] = with_ctes(("pay_transactions",), """
+select transaction_id, transaction_timestamp, transaction_amount
+from pay_transactions where transaction_id is not null and transaction_timestamp is not null
+union all
+select transaction_id, transaction_timestamp + interval 4 year, transaction_amount
+from pay_transactions where transaction_id is not null
+  and year(transaction_timestamp) + 4 <= (select max(year(transaction_timestamp)) from pay_transactions)""")

@@ -14,7 +14,7 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas"
 # keys whose callables write files first (checked elsewhere)
 WRITERS = {"src_csv_scan", "src_multi_file_union", "src_mart_year_scan", "src_list_files",
            "snk_partitioned_roundtrip", "snk_idempotent_append", "val_missing_columns",
-           "stream_ingest_once", "stream_dedup"}
+           "stream_ingest_once", "stream_dedup", "stream_watermark", "stream_marts"}
 
 
 def plan(df) -> str:
