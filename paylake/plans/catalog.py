@@ -308,6 +308,43 @@ def _job_late_dimensions(spark: SparkSession, d: str) -> DataFrame:
     return filesrc.read_mart(spark, f"{cfg.warehouse}/marts/refund_insights", "refund_insights")
 
 
+def _job_fact_update(spark: SparkSession, d: str) -> DataFrame:
+    """Two batches: all facts, many with another state, amount or month; then those again as
+    they are.  Base and marts show the newer files' rows."""
+    from .batch import BatchConfig, run_batch
+
+    root = scratch_dir(spark, "job-update")
+    cfg = BatchConfig(landing=f"{root}/landing", warehouse=f"{root}/warehouse",
+                      ledger=f"{root}/ledger", route_by_folder=True)
+    keyed = fx.transactions_keyed(spark, d).persist(StorageLevel.MEMORY_AND_DISK)
+    txn, refunds = fx.transactions_clean(keyed), fx.refunds_from(keyed)
+
+    def some(key: str):
+        return F.crc32(F.col(key).cast("binary")) % 3 == 0
+
+    def early(key: str, column: str, value):
+        return F.when(some(key), value).otherwise(F.col(column))
+
+    before = txn.withColumns({
+        "transaction_status": early("transaction_id", "transaction_status", F.lit("PENDING")),
+        "merchant_id": early("transaction_id", "merchant_id", F.col("merchant_id") + 1),
+        "transaction_timestamp": early("transaction_id", "transaction_timestamp",
+                                       F.col("transaction_timestamp") - F.expr("interval 40 days"))})
+    asked = refunds.withColumns({
+        "refund_status": early("refund_id", "refund_status", F.lit("REQUESTED")),
+        "refund_timestamp": early("refund_id", "refund_timestamp",
+                                  F.col("refund_timestamp") - F.expr("interval 3 years"))})
+    batches = ({"merchant": fx.merchants(spark, d), "customer": fx.customers(spark, d), "channel": fx.channels(spark, d),
+                "transactions": before, "refunds": asked},
+               {"transactions": txn.where(some("transaction_id")), "refunds": refunds.where(some("refund_id"))})
+    for n, drops in enumerate(batches):
+        for name, df in drops.items():
+            csvsrc.write_csv(df, f"{cfg.landing}/{S.BY_NAME[name].token}_drop{n}")
+        run_batch(spark, cfg)
+    keyed.unpersist()
+    return filesrc.read_mart(spark, f"{cfg.warehouse}/marts/refund_insights", "refund_insights")
+
+
 # --------------------------------------------------------------- streaming
 
 def _stream_ingest_once(spark: SparkSession, d: str) -> DataFrame:
@@ -439,6 +476,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "job_run_batch": _job_run_batch,
     "job_late_transactions": _job_late_transactions,
     "job_late_dimensions": _job_late_dimensions,
+    "job_fact_update": _job_fact_update,
     "stream_ingest_once": _stream_ingest_once,
     "stream_dedup": _stream_dedup,
     "stream_watermark": _stream_watermark,

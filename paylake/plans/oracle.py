@@ -392,6 +392,7 @@ SQL["job_run_batch"] = SQL["kpi_monthly_channel_success"]
 # Over two batches, each refund finds its transaction whenever it comes.
 SQL["job_late_transactions"] = SQL["mart_refund_insights"]
 SQL["job_late_dimensions"] = SQL["mart_refund_insights"]
+SQL["job_fact_update"] = SQL["mart_refund_insights"]
 SQL["stream_marts"] = SQL["mart_refund_insights"]
 SQL["stream_watermark"] = with_ctes(("pay_transactions",), """
 select transaction_id, transaction_timestamp, transaction_amount
