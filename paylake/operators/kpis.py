@@ -280,3 +280,42 @@ def settlement_kpis_from_summary(summary: DataFrame) -> dict[str, DataFrame]:
                                         .orderBy(F.col("fee_revenue").desc_nulls_last(),
                                                  F.col("merchant_category").asc_nulls_first())),
     }
+
+
+# The refund KPIs from one summary: counts by (month, merchant), (month, reason) and
+# (month, customer) in one pass (grouping sets).  The distinct count of refunded
+# transactions does not add up over months; it comes from ``plans.refunded``.
+
+def refund_summary(refund_mart: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    keys = ("merchant_id", "merchant_name", "refund_reason", "customer_id")
+    sets = [[*extra_keys, "merchant_id", "merchant_name"], [*extra_keys, "refund_reason"],
+            [*extra_keys, "customer_id"]]
+    by = (F.when(F.grouping("customer_id") == 0, "customer")
+          .when(F.grouping("refund_reason") == 0, "reason").otherwise("merchant"))
+    return (refund_mart.select(*extra_keys, *keys, "refund_id").groupingSets(sets, *extra_keys, *keys)
+                       .agg(by.alias("counted_by"), F.count("refund_id").alias("n_ids")))
+
+
+def refund_kpis_from_summary(summary: DataFrame, refunded: DataFrame, txn_summary: DataFrame,
+                             n: int = 5, min_refunds: int = 2) -> dict[str, DataFrame]:
+    """``refunded``: one row with ``refund_txn``; ``txn_summary``: of ``transaction_summary``."""
+    success = (txn_summary.where(F.col("transaction_status") == SUCCESS)
+               .agg(F.lit(None).cast("long").alias("refund_txn"),
+                    F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("total_success_txn")))
+    both = (refunded.select("refund_txn", F.lit(None).cast("long").alias("total_success_txn")).unionByName(success)
+            .agg(F.max("refund_txn").alias("refund_txn"), F.max("total_success_txn").alias("total_success_txn")))
+
+    def counted(by: str, name: str, *cols: str) -> DataFrame:
+        return (summary.where(F.col("counted_by") == by).groupBy(*cols).agg(F.sum("n_ids").alias(name))
+                       .orderBy(F.col(name).desc_nulls_last(), *(F.col(c).asc_nulls_first() for c in cols)))
+
+    return {
+        "refund_rate": both.select(
+            "refund_txn", "total_success_txn",
+            F.round(F.try_divide(F.col("refund_txn").cast("double"), F.col("total_success_txn").cast("double"))
+                    * F.lit(100.0), 2).alias("refund_rate")),
+        "top_refund_merchants": counted("merchant", "refund_cnt", "merchant_id", "merchant_name").limit(n),
+        "refund_reasons": counted("reason", "refund_count", "refund_reason"),
+        "repeat_refund_customers": counted("customer", "refund_cnt", "customer_id")
+        .where(F.col("refund_cnt") >= min_refunds),
+    }
