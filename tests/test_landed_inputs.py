@@ -1,0 +1,55 @@
+"""How the tables are turned into landing files: shuffles, and the rows that come out."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from paylake.sources import tables as fx
+
+
+def _exchanges(df) -> int:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum("Exchange hashpartitioning" in line for line in plan.splitlines())
+
+
+@pytest.fixture()
+def odd_tables(spark, tmp_path):
+    """The small tables, with lines that come twice (one differs) and keys that are null."""
+    for name in ("customer", "nation", "orders"):
+        fx.table(spark, SF_SMALL, name).write.parquet(f"{tmp_path}/{name}.parquet")
+    lines = fx.table(spark, SF_SMALL, "lineitem").where("l_orderkey < 2000")
+    again = lines.where("l_partkey % 3 = 0").withColumn("l_suppkey", F.col("l_suppkey") + 1)
+    gone = lines.limit(5).withColumn("l_linenumber", F.lit(None).cast(lines.schema["l_linenumber"].dataType))
+    lines.unionByName(again).unionByName(again).unionByName(gone).write.parquet(f"{tmp_path}/lineitem.parquet")
+    return str(tmp_path)
+
+
+def test_transactions_by_order_are_the_keyed_ones(spark, odd_tables):
+    want, got = fx.transactions_keyed(spark, odd_tables), fx.transactions_by_order(spark, odd_tables)
+    assert got.columns == want.columns
+    assert got.count() == want.count() > 0
+    assert want.exceptAll(got).isEmpty()
+
+
+def test_landed_transactions_are_shuffled_by_their_order_only(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keyed, landed = fx.transactions_keyed(spark, SF_SMALL), fx.transactions_by_order(spark, SF_SMALL)
+        assert _exchanges(landed) == _exchanges(keyed) - 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_header_check_computes_the_transactions_once(spark, monkeypatch, tmp_path):
+    from paylake.plans.catalog import QUERIES
+    from paylake.sources import csv as csvsrc
+
+    written = []
+    real = csvsrc.write_csv
+    monkeypatch.setattr(csvsrc, "write_csv", lambda df, path, mode="overwrite": (
+        written.append((path.rsplit("/", 1)[1], "InMemoryTableScan" in df._jdf.queryExecution().executedPlan().toString())),
+        real(df, path, mode)))
+    out = QUERIES["val_missing_columns"](spark, SF_SMALL)
+    assert {n for n, cached in written if cached} == {"fact_refunds", "fact_refunds_bad", "fact_settlements"}
+    assert out.count() == 7
