@@ -9,7 +9,8 @@ means m, m' and deviations s, s' over segments of w components,
 which is the lower bound of their distance, |q - x|^2 >= sum w ((m - m')^2 +
 (s - s')^2), read as a bound of the inner product.  A candidate whose bound is
 below a query's k-th best score so far is dropped at the coarsest level that
-shows it; scores of the survivors are computed exactly.
+shows it; scores of the survivors are computed exactly (as one matrix product where
+they are many: picking their vectors one by one costs more than that).
 
 Queries and candidates are dealt to a grid of blocks, each pair of a query
 block and a candidate block is one task's work, and the k best of each are
@@ -29,6 +30,8 @@ from .vectors import best_pairs, matrix, ranked, valid_vectors
 LONG = (1 << 63) - 1
 #: Segments at each level, coarse to fine.
 LEVELS = (2, 4, 8, 16)
+#: If more than one pair in so many survives the bounds, a chunk's scores are one matrix product.
+DENSE = 50
 
 
 def segment_features(x: np.ndarray, segments: int) -> np.ndarray:
@@ -42,12 +45,17 @@ def segment_features(x: np.ndarray, segments: int) -> np.ndarray:
     return np.stack(out, axis=1)
 
 
+def exact_in_doubles(q: np.ndarray, x: np.ndarray) -> bool:
+    """Whether every sum of products of the rows' whole numbers is exact in doubles, in any order."""
+    return float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[1] < 2.0 ** 53
+
+
 def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Integer inner products of paired rows (whole numbers held as doubles);
     beyond the range of a long they saturate."""
     if not len(q):
         return np.zeros(0, np.int64)
-    if float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[1] < 2.0 ** 53:
+    if exact_in_doubles(q, x):
         return np.einsum("ij,ij->i", q, x).astype(np.int64)
     total = [sum(int(a) * int(b) for a, b in zip(r, s)) for r, s in zip(q, x)]
     return np.array([max(-LONG - 1, min(LONG, t)) for t in total], np.int64)
@@ -65,6 +73,7 @@ def _block(d: int, k: int, chunk: int = 512):
         of_q = [segment_features(q, n) for n in levels]
         of_x = [segment_features(x, n) for n in levels]
         size = np.linalg.norm(q, axis=1)
+        whole = exact_in_doubles(q, x)
         edge = np.full(len(q), -np.inf)  # each query's k-th best score so far
         best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
         for at in range(0, len(x), chunk):
@@ -76,9 +85,14 @@ def _block(d: int, k: int, chunk: int = 512):
                 if not np.isfinite(edge).any():
                     break
                 open_ &= fq @ fx[part].T + slack >= edge[:, None]
-            i, j = np.nonzero(open_)
-            score = np.concatenate([exact_scores(q[i[s:s + 200_000]], x[at + j[s:s + 200_000]])
-                                    for s in range(0, len(i), 200_000)] or [np.zeros(0, np.int64)])
+            if whole and DENSE * np.count_nonzero(open_) > open_.size:
+                scores = q @ x[part].T
+                i, j = np.nonzero(open_ & (scores >= edge[:, None]))
+                score = scores[i, j].astype(np.int64)
+            else:
+                i, j = np.nonzero(open_)
+                score = np.concatenate([exact_scores(q[i[s:s + 200_000]], x[at + j[s:s + 200_000]])
+                                        for s in range(0, len(i), 200_000)] or [np.zeros(0, np.int64)])
             good = score >= edge[i]
             merged = [np.concatenate(p) for p in zip(best, (i[good], ids[at + j[good]], score[good]))]
             top = best_pairs(merged[0], merged[1], merged[2], k)

@@ -152,3 +152,19 @@ def test_a_repeated_row_leaves_room_for_others(spark):
                 best[i] = max(best.get(i, -math.inf), float(x[q] @ np.array(v)))
         want |= {(q, n, i) for n, (i, _) in enumerate(sorted(best.items(), key=lambda p: (-p[1], p[0]))[:20], 1)}
     assert got == want
+
+
+def test_many_surviving_pairs_are_scored_by_one_product(monkeypatch):
+    """Random vectors, of which the bounds drop few: no pair's vectors are picked one by one."""
+    rng = np.random.default_rng(5)
+    rows = pd.DataFrame({"vec_id": np.arange(3000), "v": list(rng.normal(size=(3000, 64)))})
+    queries = rows[rows["vec_id"] % 50 == 0].rename(columns={"vec_id": "query_id"})
+    picked = []
+    real = topk_search.exact_scores
+    monkeypatch.setattr(topk_search, "exact_scores", lambda q, x: (picked.append(len(q)), real(q, x))[1])
+    got = topk_search._block(64, 5)(rows, queries)
+    assert sum(picked) < 60 * 3000 / 50
+    x = np.floor(256 * np.stack(rows["v"])).astype(np.int64)
+    for q, best in got.groupby("query_id"):
+        want = sorted(((-int(s), i) for i, s in enumerate(x @ x[q]) if i != q))[:5]
+        assert sorted(zip((-best["score"]).tolist(), best["vec_id"].tolist())) == want
