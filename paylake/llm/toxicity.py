@@ -157,31 +157,36 @@ class Lexicon:
 
 
 class Vocabulary:
-    """The sample's words with their stems numbered once for all fits: ``stem``
-    and ``above`` number each word's and each stem's longest stem."""
-
-    def __init__(self, words: list[str]):
-        self.words, self.stems = words, []
-        number: dict[str, int] = {}
+    """Words and their stems, numbered once for all fits: ``chain`` and ``above`` number
+    each word's and each stem's stems.  If ``stems`` (with all stems of each word) are given,
+    they may be stems of further words, too."""
+
+    def __init__(self, words: list[str], stems: list[str] | None = None):
+        if stems is None:
+            stems = list(dict.fromkeys(w[:q] for q in STEMS for w in words if len(w) > q))
+        self.words, self.stems = words, stems
+        number = {s: k for k, s in enumerate(stems)}
         self.chain: list[tuple[np.ndarray, np.ndarray]] = []  # by length: words that have such a stem, its number
         for q in STEMS:
             at = [k for k, w in enumerate(words) if len(w) > q]
-            codes = [number.setdefault(words[k][:q], len(number)) for k in at]
+            codes = [number[words[k][:q]] for k in at]
             self.chain.append((np.array(at, np.int64), np.array(codes, np.int64)))
-        self.stems = list(number)
         self.above = np.array([number.get(s[:-1], -1) for s in self.stems], np.int64)
         self.length = np.array([len(s) for s in self.stems], np.int64)
 
 
-def fit_lexicon(vocabulary: Vocabulary, counts: np.ndarray, share: np.ndarray, prior: float,
-                drift: float) -> Lexicon:
-    """``counts``: documents that hold each word, clean and toxic; ``share``: a
-    word's share of all documents' words."""
-    v, n = vocabulary, np.maximum(1.0, counts.sum(axis=0))
-    of_stem = np.zeros((len(v.stems), 2))
-    for at, codes in v.chain:
-        for k in range(2):
-            of_stem[:, k] += np.bincount(codes, counts[at, k], len(v.stems))
+def fit_lexicon(vocabulary: Vocabulary, counts: np.ndarray, share: np.ndarray, prior: float, drift: float,
+                of_stem: np.ndarray | None = None, size: np.ndarray | None = None) -> Lexicon:
+    """``counts``: documents that hold each word, clean and toxic; ``share``: a word's share of
+    all documents' words; ``of_stem``, ``size``: the sums of ``counts`` over the words of each stem,
+    and over all words, if there are words that the vocabulary does not name."""
+    v = vocabulary
+    if of_stem is None:
+        of_stem = np.zeros((len(v.stems), 2))
+        for at, codes in v.chain:
+            for k in range(2):
+                of_stem[:, k] += np.bincount(codes, counts[at, k], len(v.stems))
+    n = np.maximum(1.0, counts.sum(axis=0) if size is None else size)
 
     def rates(c, part, above):
         return (c + prior * above) / (n * part[:, None] + prior)
@@ -227,16 +232,34 @@ def extreme_value_scale(s: np.ndarray, p: np.ndarray, drift: float) -> float:
 
 def fit_lexicons(counted: DataFrame, corpus: DataFrame, prior: float, drift: float) -> list[Lexicon]:
     """One lexicon without each fold, and the one of the whole sample.  What is
-    collected is the sample's vocabulary, bounded by the sample."""
+    collected are the words and stems that more than one document of the sample
+    holds; the others (most) have no score and count in the sums only, which Spark makes."""
+    counted = common.cut(counted, "counted")
     total = float(corpus.agg(F.sum("n")).head()[0] or 1)
     cells = [F.sum(F.when((F.col("fold") == f) & (F.col("toxic") == y), F.col("n")).otherwise(0)).alias(f"c{f}{y}")
              for f in range(FOLDS) for y in (0, 1)]
-    rows = counted.groupBy("word").agg(*cells).join(corpus.withColumnRenamed("n", "_all"), "word", "left").toArrow()
-    number = lambda c: rows.column(c).fill_null(0).to_numpy().astype(float)
-    by_fold = np.stack([np.stack([number(f"c{f}{y}") for y in (0, 1)], axis=1) for f in range(FOLDS)])
-    words = Vocabulary(rows.column("word").to_pylist())
-    return [fit_lexicon(words, by_fold.sum(axis=0) - (0 if f is None else by_fold[f]), number("_all") / total,
-                        prior, drift) for f in [*range(FOLDS), None]]
+    shared = F.sum("n") > 1
+    of_words = (counted.groupBy("word").agg(*cells, shared.alias("_shared")).where("_shared").drop("_shared")
+                .join(corpus.withColumnRenamed("n", "_all"), "word", "left").toArrow())
+    stems = F.explode(F.array_compact(F.array(*[
+        F.when(F.length("word") > q, F.substring("word", 1, q)) for q in STEMS]))).alias("stem")
+    of_stems = (counted.select(stems, "fold", "toxic", "n").groupBy("stem").agg(*cells, shared.alias("_shared"))
+                .where("_shared").drop("_shared").toArrow())
+    of_all = counted.agg(*cells).toArrow()
+
+    def by_fold(rows: pa.Table) -> np.ndarray:
+        return np.stack([np.stack([_numbers(rows, f"c{f}{y}") for y in (0, 1)], axis=1) for f in range(FOLDS)])
+
+    tables = [by_fold(rows) for rows in (of_words, of_stems, of_all)]
+    share = _numbers(of_words, "_all") / total
+    # a word's stems and a stem's shorter ones are held by as many documents, so they are all there
+    words = Vocabulary(of_words.column("word").to_pylist(), of_stems.column("stem").to_pylist())
+    return [fit_lexicon(words, counts, share, prior, drift, of_stem, size[0]) for counts, of_stem, size in
+            ([t.sum(axis=0) - (0 if f is None else t[f]) for t in tables] for f in [*range(FOLDS), None])]
+
+
+def _numbers(rows: pa.Table, column: str) -> np.ndarray:
+    return rows.column(column).fill_null(0).to_numpy().astype(float)
 
 
 def maximal_segments(scores: list[float], drift: float = 0.0) -> list[tuple[int, int, float]]:

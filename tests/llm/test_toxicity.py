@@ -168,3 +168,30 @@ def test_edges(spark, edge_docs, no_docs, clash, read):
     odd = spark.createDataFrame([(1, None, None), (None, 1, 1), (2, 1, 1), (2, 1, 0), (2, 1, 1)],
                                 "doc_id long, quality int, toxic int")
     assert toxicity.toxicity(edge_docs, odd).count() == edge_docs.count()
+
+
+def test_words_of_one_document_stay_out_of_the_driver(spark, monkeypatch):
+    """They count in the sums of their stems and of all words, which Spark makes."""
+    rng = random.Random(3)
+    seen = [(w, f, y, 1 + (len(w) + f) % 2 * shared) for shared in (0, 1) for w in
+            (["".join(rng.choices("abc", k=rng.randint(2, 11))) for _ in range(150)])
+            for f, y in ([(rng.randrange(4), rng.randrange(2))] if not shared else [(f, f % 2) for f in range(4)])]
+    counted = spark.createDataFrame(seen, "word string, fold int, toxic int, n long").groupBy(
+        "word", "fold", "toxic").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n")
+    corpus = counted.groupBy("word").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n")
+    held = {r.word: r.n for r in corpus.collect()}
+    named, real = [], toxicity.Vocabulary
+    monkeypatch.setattr(toxicity, "Vocabulary", lambda words, *a: (named.append(sorted(words)), real(words, *a))[1])
+    got = toxicity.fit_lexicons(counted, corpus, 2.0, 0.8)
+    assert named == [sorted(w for w, n in held.items() if n > 1)] and len(named[0]) < len(held)
+    words = sorted(held)
+    cells = np.zeros((4, len(words), 2))
+    for r in counted.collect():
+        cells[r.fold, words.index(r.word), r.toxic] += r.n
+    share = np.array([held[w] for w in words]) / sum(held.values())
+    for f, lex in zip([0, 1, 2, 3, None], got):
+        want = toxicity.fit_lexicon(real(words), cells.sum(axis=0) - (0 if f is None else cells[f]), share, 2.0, 0.8)
+        assert lex.words.keys() == want.words.keys() and lex.stems.keys() == want.stems.keys()
+        assert all(abs(lex.words[w] - want.words[w]) < 1e-9 for w in want.words)
+        assert all(abs(lex.stems[w] - want.stems[w]) < 1e-9 for w in want.stems)
+        assert abs(lex.scale - want.scale) < 1e-9
