@@ -1,0 +1,73 @@
+"""The batch job and the streams move rows no more often than they must."""
+
+import glob
+import os
+
+import pytest
+
+from conftest import write_text
+from paylake import schemas as S
+from paylake.operators import marts
+from paylake.plans import batch
+from paylake.plans.batch import BatchConfig, run_batch
+from paylake.sinks.parquet import overwrite_partitions
+from paylake.streaming import marts as sm
+from test_batch_job import CHANNEL, CUSTOMER, HEAD, MERCHANT, REFUND_LATE, SETTLE, TXN
+
+
+@pytest.fixture()
+def cfg(tmp_path):
+    return BatchConfig(landing=f"{tmp_path}/landing", warehouse=f"{tmp_path}/wh", ledger=f"{tmp_path}/ledger")
+
+
+def test_late_rows_are_repaired_in_one_rewrite(spark, cfg, monkeypatch):
+    for name, text in {"fact_transactions_1": TXN, "fact_settlements_1": SETTLE, "fact_refunds_1": REFUND_LATE,
+                       "dim_customer_1": CUSTOMER.splitlines()[0] + "\n9,X,18-25,Pune,MH,2025-01-01,VERIFIED,1\n",
+                       "dim_merchant_1": MERCHANT.splitlines()[0] + "\n9,X,Food,Pune,MH,2024-01-01,LOW,T+1\n",
+                       "dim_payment_channel_1": "channel_id,channel_type,provider_name\n9,UPI,X\n"}.items():
+        write_text(f"{cfg.landing}/{name}.csv", text)
+    run_batch(spark, cfg)
+    [stage] = glob.glob(f"{cfg.warehouse}/staging/*")
+    # the lines, the first batch's facts and the mart rows have no copy of their own
+    assert sorted(os.listdir(stage)) == ["_kpis", "_rows", "channel", "customer", "merchant", "refunds", "settlements",
+                                         "transactions"]
+    assert sorted(os.listdir(f"{stage}/_rows")) == ["channel", "customer", "merchant"]
+    for name, text in {"dim_customer_2": CUSTOMER, "dim_merchant_2": MERCHANT, "dim_payment_channel_2": CHANNEL}.items():
+        write_text(f"{cfg.landing}/{name}.csv", text)
+    rewritten = []
+    monkeypatch.setattr(batch, "overwrite_partitions", lambda df, path, *a: (
+        rewritten.append(path.split("/wh/")[1]), overwrite_partitions(df, path, *a)))
+    run_batch(spark, cfg)
+    assert sorted(p for p in rewritten if p.startswith("marts/")) == [
+        "marts/merchant_settlement", "marts/refund_insights", "marts/transaction_performance"]
+    txn = {r.transaction_id: (r.merchant_name, r.provider_name) for r in
+           spark.read.parquet(f"{cfg.warehouse}/marts/transaction_performance").collect()}
+    assert txn == {"T1": ("M1", "PhonePe"), "T2": ("M2", "Visa"), "T3": ("M2", "PhonePe")}
+    ref = {r.refund_id: (r.merchant_name, r.age_group) for r in
+           spark.read.parquet(f"{cfg.warehouse}/marts/refund_insights").collect()}
+    assert ref == {"R1": ("M1", "18-25"), "R9": (None, None)}
+
+
+def test_partitions_are_replaced_from_the_table_itself(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.createDataFrame([(1, 2000), (2, 2000), (3, 2001), (4, None)], "id int, y int").write.partitionBy("y").parquet(path)
+    moved = spark.read.parquet(path).where("y = 2001 or y is null").selectExpr("id", "2000 as y")
+    kept = spark.read.parquet(path).where("y = 2000 and id > 1")
+    overwrite_partitions(kept.unionByName(moved), path, ["y"], [(2000,), (2001,), (None,)])
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(2, 2000), (3, 2000), (4, 2000)]
+
+
+def test_join_state_lies_in_rocksdb(spark, tmp_path):
+    cfg = sm.StreamConfig(f"{tmp_path}/wh", f"{tmp_path}/ledger", delay="1 days", wait="10 days")
+    write_text(f"{tmp_path}/in/t/fact_transactions_1.csv", TXN)
+    write_text(f"{tmp_path}/in/r/fact_refunds_1.csv", REFUND_LATE)
+    read = lambda text, spec, n: spark.read.option("header", "true").schema(spec.schema).csv(
+        write_text(f"{tmp_path}/{n}.csv", text))
+    merchant, customer = read(MERCHANT, S.MERCHANT, "m"), read(CUSTOMER, S.CUSTOMER, "c")
+    sm.ingest_checked(spark, f"{tmp_path}/in/t", S.TRANSACTIONS, cfg)
+    sm.ingest_checked(spark, f"{tmp_path}/in/r", S.REFUNDS, cfg)
+    sm.run_mart(spark, "refund_insights", lambda f, t: marts.refund_insights(f, t, merchant, customer), cfg)
+    with open(f"{cfg.work('refund_insights')}/checkpoint/offsets/0") as f:
+        assert "RocksDBStateStoreProvider" in f.read()
+    assert "RocksDB" not in spark.conf.get(sm.STATE_STORE, sm.DEFAULT_STORE)
+    assert [r.refund_id for r in spark.read.parquet(cfg.mart("refund_insights")).collect()] == ["R1"]
