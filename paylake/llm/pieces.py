@@ -10,11 +10,14 @@ characters and, for contractions, on the two letters after an apostrophe.
 from __future__ import annotations
 
 import re
+import string
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Regex, Tokenizer
 from tokenizers.pre_tokenizers import Split
 
@@ -241,29 +244,154 @@ class WordMemo:
         return out
 
 
-class TokenIds(WordMemo):
+#: Last bytes of the blanks beyond ASCII, as one number each.
+WIDE_BLANKS = np.array([int.from_bytes(c.encode(), "big") for c in OTHER_BLANKS if not c.isascii()], np.uint32)
+BLANK_BYTES = np.isin(np.arange(256), [ord(c) for c in (*ASCII_BLANKS, " ", "\n")])
+#: ASCII letters, digits and other visible characters but the apostrophe, which
+#: contractions take with what follows.
+ASCII_CLASS = np.zeros(256, np.uint8)
+for _k, _kind in enumerate((string.ascii_letters, string.digits, string.punctuation.replace("'", "")), 1):
+    ASCII_CLASS[[ord(c) for c in _kind]] = _k
+
+
+def chunk_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where chunks of the UTF-8 bytes ``data`` begin: at ``starts``, where texts do,
+    at each space or line feed that follows a visible character, and between ASCII
+    characters of two classes.  A piece surely ends there, whatever stands around,
+    so a chunk's pieces depend on nothing outside it."""
+    first = (data == 0x20) | (data == 0x0A)
+    first[1:] &= ~BLANK_BYTES[data[:-1]]
+    at = np.flatnonzero(first)
+    at = at[at > 0]
+    at = at[data[at - 1] >= 0x80]
+    two = data[at - 2].astype(np.uint32) << 8 | data[at - 1]
+    first[at[np.isin(two, WIDE_BLANKS) | np.isin(data[at - 3].astype(np.uint32) << 16 | two, WIDE_BLANKS)]] = False
+    kind = ASCII_CLASS[data]
+    first[1:] |= (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+    first[starts[starts < len(data)]] = True
+    return np.flatnonzero(first)
+
+
+class TokenIds:
     """Ids of texts as little-endian unsigned 32-bit integers.
 
+    Texts are cut into chunks, a word with the blanks before it or a run of marks as
+    a rule (``chunk_starts``).  Arrow numbers the distinct ones, behind those that are
+    remembered, and takes the ids of all by number, so Python sees new chunks only.
+    Of more than ``size`` remembered chunks the half met most often stays.
+
     New pieces are encoded by the tokenizers library, many in one call: they
     are written with one printable character per byte, one to a line, and the
     library is told to split at the line ends (a character that no byte is
     written as).
     """
 
-    def __init__(self, tokenizer: Tokenizer, special: dict[str, int] | None = None):
+    def __init__(self, tokenizer: Tokenizer, special: dict[str, int] | None = None, size: int = 600_000):
         tokenizer.pre_tokenizer = Split("\n", "removed")
-        self.tokenizer = tokenizer
-        self.table = {b: c for b, c in byte_characters().items() if chr(b) != c}
-        super().__init__(self._encode, b"".join,
-                         {t: np.array([i], "<u4").tobytes() for t, i in (special or {}).items()})
+        self.tokenizer, self.size = tokenizer, size
+        # UTF-8 has no byte 255: it stands between two pieces
+        self.table = np.array([ord(c) for _, c in sorted((byte_characters() | {255: "\n"}).items())], "<u4")
+        self.special = next(iter(special), None) if special else None
+        self.special_id = np.array([*(special or {}).values()], "<u4").tobytes()
+        self.chunks, self.ids = pa.array([], pa.string()), pa.array([], pa.binary())
+        self.met = np.zeros(0, np.int64)
 
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        out: list[bytes] = []
+    def _encode(self, pieces: list[str]) -> pa.BinaryArray:
+        """The ids of each piece."""
+        ids, counts = [np.zeros(0, "<u4")], [np.zeros(1, np.int64)]
         for k in range(0, len(pieces), 1000):
             group = pieces[k:k + 1000]
-            lines = "\n".join([p.encode().decode("latin-1").translate(self.table) for p in group])
-            e = self.tokenizer.encode(lines, add_special_tokens=False)
-            data = np.array(e.ids, "<u4").tobytes()
-            at = (4 * np.searchsorted(np.array(e.word_ids), np.arange(len(group) + 1))).tolist()
-            out += [data[a:b] for a, b in zip(at, at[1:])]
-        return out
+            lines = self.table[np.frombuffer(b"\xff".join(map(str.encode, group)), np.uint8)].tobytes()
+            e = self.tokenizer.encode(lines.decode("utf-32-le"), add_special_tokens=False)
+            ids.append(np.array(e.ids, "<u4"))
+            counts.append(np.bincount(np.array(e.word_ids, np.int64), minlength=len(group)))
+        return _binary(np.concatenate(ids), np.concatenate(counts))
+
+    def _split(self, chunks: pa.StringArray) -> pa.BinaryArray:
+        """The ids of chunks that are not remembered, by their pieces."""
+        pieces, counts, group, held = [], [np.zeros(1, np.int64)], [], 0
+        for c in [*chunks.to_numpy(zero_copy_only=False), None]:
+            if group and (c is None or held > 1 << 19):
+                found, n = split_batch(group)
+                pieces += found
+                counts.append(n)
+                group, held = [], 0
+            if c is not None:
+                group.append(c)
+                held += len(c)
+        once = {p: k for k, p in enumerate(dict.fromkeys(pieces))}
+        ids = self._encode([*once]).take(pa.array(map(once.__getitem__, pieces), pa.int32()))
+        return _bounded(ids, np.cumsum(np.concatenate(counts)))
+
+    def _take(self, chunks: pa.StringArray) -> pa.BinaryArray:
+        """The ids of chunks, remembered or new."""
+        known = len(self.chunks)
+        coded = pa.concat_arrays([self.chunks, chunks]).dictionary_encode()
+        new, codes = coded.dictionary.slice(known), coded.indices.slice(known)
+        ids = pa.concat_arrays([self.ids, self._split(new)]) if len(new) else self.ids
+        self._remember(coded.dictionary, ids, codes.to_numpy())
+        return ids.take(codes)
+
+    def _remember(self, chunks: pa.StringArray, ids: pa.BinaryArray, codes: np.ndarray) -> None:
+        met = np.bincount(codes, minlength=len(chunks))
+        met[:len(self.met)] += self.met
+        keep = np.flatnonzero(pc.binary_length(chunks).to_numpy() <= LONGEST)
+        if len(keep) > self.size:
+            keep = np.sort(keep[np.argsort(-met[keep], kind="stable")[:self.size // 2]])
+            met //= 2
+        if len(keep) < len(chunks):
+            chunks, ids, met = chunks.take(pa.array(keep)), ids.take(pa.array(keep)), met[keep]
+        self.chunks, self.ids, self.met = chunks, ids, met
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts without the special string."""
+        column = pa.array(texts, pa.string())
+        ends = np.frombuffer(column.buffers()[1], np.int32)[:len(texts) + 1]
+        if not ends[-1]:
+            return [b""] * len(texts)
+        data = column.buffers()[2].slice(0, int(ends[-1]))
+        at = chunk_starts(np.frombuffer(data, np.uint8), ends[:-1])
+        offsets = pa.py_buffer(np.append(at, ends[-1]).astype(np.int32))
+        ids = self._take(pa.StringArray.from_buffers(len(at), offsets, data))
+        return _bounded(ids, np.searchsorted(at, ends)).to_pylist()
+
+    def values(self, texts: list[str], size: int = 1 << 23) -> list[bytes]:
+        """The ids of each text."""
+        out: list = [[] for _ in texts]
+        group: list[tuple[int, str | None]] = []  # None: the special string
+        held = 0
+
+        def flush():
+            found = iter(self._plain([t for _, t in group if t is not None]))
+            for i, t in group:
+                out[i].append(self.special_id if t is None else next(found))
+            group.clear()
+
+        for i, text in enumerate(texts):
+            for k, part in enumerate(text.split(self.special) if self.special else [text]):
+                if k:
+                    group.append((i, None))
+                for chunk in sure_chunks(part, size):
+                    group.append((i, chunk))
+                    held += len(chunk)
+                    if held >= size:
+                        flush()
+                        held = 0
+        flush()
+        return list(map(b"".join, out))
+
+
+#: Bytes of the longest chunk that is remembered.
+LONGEST = 256
+
+
+def _binary(ids: np.ndarray, counts: np.ndarray) -> pa.BinaryArray:
+    """Rows of ids; ``counts``: 0, then the number of ids of each row."""
+    offsets = (4 * np.cumsum(counts)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(counts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+
+
+def _bounded(rows: pa.BinaryArray, first: np.ndarray) -> pa.BinaryArray:
+    """The rows from ``first[k]`` to ``first[k + 1]`` as one row each."""
+    offsets = np.frombuffer(rows.buffers()[1], np.int32)[rows.offset:][first]
+    return pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer(offsets), rows.buffers()[2]])

@@ -65,6 +65,30 @@ def test_long_texts_are_cut_without_effect(library):
     assert "".join(parts) == text
 
 
+def test_ids_equal_library_with_a_bounded_memory(library):
+    rng = random.Random(11)
+    blanks = [*pieces.OTHER_BLANKS, " ", "\n", "  ", "\n ", "a", "é", "1", ",", "'s", "漢", "<|endoftext|>"]
+    texts = fuzz(12, 1000) + ["".join(rng.choices(blanks, k=12)) for _ in range(2000)] + ["", "x" * 3000, "é,\x85 a"]
+    want = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+    special = {"<|endoftext|>": library.token_to_id("<|endoftext|>")}
+    for remembered, size in ((50, 300), (1000, 5000), (600_000, 1 << 23)):
+        memo = pieces.TokenIds(Tokenizer.from_file(P.path("byte_bpe_50k.json")), special, remembered)
+        for _ in range(2):
+            assert memo.values(texts, size) == want
+        assert len(memo.chunks) <= remembered and max(map(len, memo.chunks.to_pylist())) <= pieces.LONGEST
+    assert memo.values([]) == []
+
+
+def test_a_word_is_encoded_once_whatever_marks_follow_it(library):
+    memo = pieces.TokenIds(Tokenizer.from_file(P.path("byte_bpe_50k.json")))
+    seen, encode = [], memo._encode
+    memo._encode = lambda new: seen.extend(new) or encode(new)
+    memo.values(["it is a wordlike, thing of marks", "it 'is' a wordlike. \"thing\" (of) marks!"])
+    memo.values(["a wordlike: thing"])
+    assert seen.count(" wordlike") == 1 and " wordlike," not in memo.chunks.to_pylist()
+    assert len(seen) == len(set(seen))
+
+
 def test_codec_equals_reference_and_round_trips(ranks, reference):
     codec = bpe_codec.Codec(bpe_codec.tokenizer_json(ranks))
     texts = fuzz(4)
