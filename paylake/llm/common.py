@@ -79,7 +79,9 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def row_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
                limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into slices of at most ``limit`` bytes of ``column``
-    (one row at least), so that Python lists of their values stay small."""
+    (one row at least), so that Python lists of their values stay small.  What
+    Arrow keeps of batches that are done with goes back to the system: two workers
+    share an executor's memory with the JVM, and they live on from stage to stage."""
     for batch in batches:
         sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start = held = 0
@@ -90,6 +92,8 @@ def row_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             held += n
         if start < len(sizes):
             yield batch.slice(start)
+        del batch, sizes
+        pa.default_memory_pool().release_unused()
 
 
 def table_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:

@@ -1,14 +1,17 @@
 import hashlib
 import random
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from paylake.llm import bpe_codec, packing, pieces, token_counts
+from paylake.llm import bpe_codec, common, packing, pieces, token_counts
 
 from .conftest import EDGES
 
@@ -89,6 +92,29 @@ def test_a_word_is_encoded_once_whatever_marks_follow_it(library):
     assert len(seen) == len(set(seen))
 
 
+def test_remembered_words_take_little_memory():
+    tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    rng = random.Random(13)
+    text = " ".join("".join(rng.choices("abcdefghij", k=10)) for _ in range(60_000))
+    tracemalloc.start()
+    try:
+        memo = pieces.TokenIds(tokenizer)
+        memo.values([text])
+        held = tracemalloc.get_traced_memory()[0] + memo.chunks.nbytes + memo.ids.nbytes
+    finally:
+        tracemalloc.stop()
+    assert held < 6 << 20
+
+
+def test_slices_give_unused_memory_back(monkeypatch):
+    batches = [pa.record_batch({"text": ["a" * 10, "b"] * 5}) for _ in range(3)]
+    released = []
+    monkeypatch.setattr(common.pa, "default_memory_pool",
+                        lambda: SimpleNamespace(release_unused=lambda: released.append(1)))
+    out = [r for b in common.row_slices(iter(batches), limit=12) for r in b.column("text").to_pylist()]
+    assert out == ["a" * 10, "b"] * 15 and len(released) == 3
+
+
 def test_codec_equals_reference_and_round_trips(ranks, reference):
     codec = bpe_codec.Codec(bpe_codec.tokenizer_json(ranks))
     texts = fuzz(4)
