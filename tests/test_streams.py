@@ -1,12 +1,15 @@
 """Streams up to the marts, watermark deduplication."""
 
 import datetime as dt
+import glob
 import os
+from functools import partial
 
 from conftest import write_text
 from paylake import schemas as S
 from paylake.operators import ledger, marts
-from paylake.streaming import ingest
+from paylake.plans.together import together
+from paylake.streaming import ingest, state
 from paylake.streaming import marts as sm
 from test_batch_job import CUSTOMER, HEAD, MERCHANT
 
@@ -109,3 +112,40 @@ def test_dedup_into_drops_repeats_by_watermark_and_sink(spark, tmp_path):
         ingest.dedup_into(ingest.file_stream(spark, f"{tmp_path}/in", S.TRANSACTIONS), f"{tmp_path}/out", f"{tmp_path}/ckpt",
                           key="transaction_id", watermark=("transaction_timestamp", "10 days"))
     assert sorted(r.transaction_id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["A", "N0", "N1", "N2", "N3"]
+
+
+def test_state_of_the_watermark_lies_in_rocksdb_and_is_bounded(spark, tmp_path):
+    write_text(f"{tmp_path}/in/fact_transactions_1.csv", HEAD + _txn("A", "2026-01-01 00:00:00"))
+    before = {k: spark.conf.get(k, None) for k in state.ON_DISK}
+    ingest.dedup_within(ingest.file_stream(spark, f"{tmp_path}/in", S.TRANSACTIONS), f"{tmp_path}/out",
+                        f"{tmp_path}/ckpt", "transaction_id", "transaction_timestamp", "10 days")
+    with open(f"{tmp_path}/ckpt/offsets/0") as f:
+        assert "RocksDBStateStoreProvider" in f.read()
+    assert glob.glob(f"{tmp_path}/ckpt/state/0/0/*.changelog")  # what changed, not the whole store
+    assert {k: spark.conf.get(k, None) for k in state.ON_DISK} == before
+    assert state.ON_DISK[f"{state.ROCKSDB}.boundedMemoryUsage"] == "true"
+
+
+def test_a_session_keeps_its_own_state_settings(spark):
+    key = f"{state.ROCKSDB}.trackTotalNumberOfRows"
+    spark.conf.set(key, "true")
+    try:
+        with state.state_on_disk(spark):
+            assert spark.conf.get(key) == "true"
+            assert spark.conf.get(state.STATE_STORE) == state.DISK_STORE
+        assert spark.conf.get(key) == "true"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_streams_of_two_datasets_run_side_by_side(spark, tmp_path):
+    """Both write the one ledger; neither loses an event."""
+    cfg = sm.StreamConfig(f"{tmp_path}/wh", f"{tmp_path}/ledger", delay="1 days", wait="10 days")
+    write_text(f"{tmp_path}/in/t/fact_transactions_1.csv", HEAD + _txn("T1", "2026-01-01 10:00:00"))
+    write_text(f"{tmp_path}/in/r/fact_refunds_1.csv", REFUND_HEAD + _refund("R1", "T1", "2026-01-02 12:00:00"))
+    together(spark, [partial(sm.ingest_checked, spark, f"{tmp_path}/in/t", S.TRANSACTIONS, cfg),
+                     partial(sm.ingest_checked, spark, f"{tmp_path}/in/r", S.REFUNDS, cfg)])
+    events = spark.read.parquet(cfg.ledger).select("file_name", "status").collect()
+    assert sorted(map(tuple, events)) == [("fact_refunds_1.csv", "A"), ("fact_refunds_1.csv", "C"),
+                                          ("fact_transactions_1.csv", "A"), ("fact_transactions_1.csv", "C")]
+    assert spark.read.parquet(cfg.base("transactions")).count() == spark.read.parquet(cfg.base("refunds")).count() == 1
