@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from conftest import write_text
 from paylake.operators import dedup
+from paylake.plans import batch
 from paylake.plans.batch import BatchConfig, run_batch
 from paylake.session import release_shuffles
-from test_batch_job import CHANNEL, CUSTOMER, HEAD, MERCHANT
+from paylake.sinks.parquet import overwrite_partitions
+from test_batch_job import CHANNEL, CUSTOMER, HEAD, MERCHANT, REFUND_LATE, TXN
 
 
 def _shuffle_files(spark):
@@ -65,3 +67,27 @@ def test_keys_sent_twice_in_a_batch(spark, tmp_path, broadcast_rows):
     assert spark.read.parquet(f"{cfg.warehouse}/quarantine/transactions").count() == 1
     staged = glob.glob(f"{cfg.warehouse}/staging/*/transactions")
     assert len(staged) == 1 and spark.read.parquet(staged[0]).count() == 0
+
+
+def test_rows_that_are_not_late_stay_in_place(spark, tmp_path, monkeypatch):
+    cfg = BatchConfig(landing=f"{tmp_path}/landing", warehouse=f"{tmp_path}/wh", ledger=f"{tmp_path}/ledger")
+    head, first, second = MERCHANT.splitlines()
+    for name, text in {"dim_merchant_1": f"{head}\n{first}\n", "dim_customer_1": CUSTOMER, "dim_payment_channel_1": CHANNEL,
+                       "fact_transactions_1": TXN, "fact_refunds_1": REFUND_LATE + "R3,T3,1,2026-01-07 12:00:00,1.00,X,COMPLETED\n"}.items():
+        write_text(f"{cfg.landing}/{name}.csv", text)
+    run_batch(spark, cfg)
+    # merchant 2 comes late; merchant 1 has another name by then, which holds for rows built later
+    write_text(f"{cfg.landing}/dim_merchant_2.csv", f"{head}\n{first.replace('M1', 'NEW')}\n{second}\n")
+    calls = {}
+    monkeypatch.setattr(batch, "overwrite_partitions", lambda df, path, *a: (
+        calls.update({path.split("/wh/")[1]: (df, *a)}), overwrite_partitions(df, path, *a)))
+    run_batch(spark, cfg)
+    moved, _, _, lying = calls["marts/transaction_performance"]
+    assert moved is None and "Exchange hashpartitioning(transaction_id" not in lying._jdf.queryExecution().toString()
+    *_, lying = calls["marts/refund_insights"]
+    assert "Exchange" not in lying._jdf.queryExecution().executedPlan().toString()
+    names = {r.transaction_id: r.merchant_name for r in
+             spark.read.parquet(f"{cfg.warehouse}/marts/transaction_performance").collect()}
+    assert names == {"T1": "M1", "T2": "M2", "T3": "M2"}
+    names = {r.refund_id: r.merchant_name for r in spark.read.parquet(f"{cfg.warehouse}/marts/refund_insights").collect()}
+    assert names == {"R1": "M1", "R3": "M2", "R9": None}
